@@ -67,14 +67,17 @@ def same_text(left: Column, right: Column) -> Column:
     return F.coalesce(F.lower(left), F.lit("")) == F.coalesce(F.lower(right), F.lit(""))
 
 
-@F.pandas_udf(DoubleType())
-def sequence_similarity(left: pd.Series, right: pd.Series) -> pd.Series:
-    """Ratcliff-Obershelp ratio per row; a missing value reads as ``nan``.
+def sequence_similarity(left: Column, right: Column) -> Column:
+    """Ratcliff-Obershelp ratio; a missing value reads as ``nan``.
 
     No built-in expression computes longest matching subsequences recursively,
-    so the standard library does it on Arrow batches.
+    so the standard library does it on Arrow batches. The local function travels
+    to the workers by value; they need no copy of this package.
     """
-    def text(value):
-        return "nan" if value is None else value
 
-    return pd.Series([SequenceMatcher(None, text(a), text(b)).ratio() for a, b in zip(left, right)], dtype="float64")
+    @F.pandas_udf(DoubleType())
+    def ratio(a: pd.Series, b: pd.Series) -> pd.Series:
+        texts = zip(a.fillna("nan"), b.fillna("nan"))
+        return pd.Series([SequenceMatcher(None, x, y).ratio() for x, y in texts], dtype="float64")
+
+    return ratio(left, right)

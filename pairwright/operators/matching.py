@@ -11,8 +11,8 @@ The similarity of two texts depends on their character histograms only, and
    geometric length band and its neighbour only.
 3. If at most r characters may differ and the alphabet is cut into r+1 segments,
    some segment agrees completely. Short texts join on a segment's signature.
-4. A 16-number summary bounds the distance from below; it is compared inside the
-   join condition before any histogram is.
+4. A few sums over groups of characters bound the distance from below; they are
+   compared inside the join condition before any histogram is.
 
 Hot join keys are spread over tiles (see :mod:`.tiles`). When only the clusters
 are wanted, hot keys are thinned beforehand by linking records to leaders.
@@ -23,21 +23,24 @@ from __future__ import annotations
 import math
 from collections.abc import Sequence
 from dataclasses import dataclass
+from functools import reduce
+from operator import add
 
 from pyspark.sql import Column, DataFrame, functions as F
 
 from .. import fixed_values as fixed
-from ..functions.similarity import char_jaccard, histogram_length, name_tokens, token_overlap
+from ..functions.similarity import histogram_length, name_tokens, token_overlap
 from ..functions.text import char_histogram
 from ..session import materialize
 from .blocking import baseline_blocks, block_of
 from .cluster import connected_components
 from .tiles import TILE_ROWS, hot_groups, spread
 
-SUMMARY_SIZE = 16
+GROUP_SUMS = 6
 MAX_SEGMENTS = 8
 LEADER_ROUNDS = 3
-# Characters by falling frequency; neighbours in this order go to different segments.
+# Characters with a fixed place in the count array, by falling frequency. Neighbours in
+# this order go to different segments and sums. All other characters are in a map.
 COMMON_CHARACTERS = " etaoinsrhldcumfpgwybvkxjqz0123456789-.,"
 
 
@@ -87,15 +90,8 @@ def _character_rank(c: Column) -> Column:
     return F.when(place > 0, place).otherwise(F.ascii(c))
 
 
-def _summary(ranked: Column) -> Column:
-    def total(slot: int) -> Column:
-        return F.aggregate(
-            ranked,
-            F.lit(0),
-            lambda acc, x: acc + F.when(x["rank"] % SUMMARY_SIZE == slot, x["n"]).otherwise(0),
-        )
-
-    return F.array(*[total(slot) for slot in range(SUMMARY_SIZE)])
+_SUMS = (*[f"sum{g}" for g in range(GROUP_SUMS)], "sum_rare")
+_PAYLOAD = ("id", "length", *_SUMS, "common", "rare", "signatures", "min_score")
 
 
 def _join_rows(reps: DataFrame, floor: float) -> DataFrame:
@@ -114,14 +110,25 @@ def _join_rows(reps: DataFrame, floor: float) -> DataFrame:
         F.sequence(F.lit(0), F.col("segments") - 1),
         lambda g: F.xxhash64(F.filter("ranked", lambda x: x["rank"] % F.col("segments") == g)),
     )
+    counts = F.map_from_entries("hist")
+    common = F.array(*[F.coalesce(F.element_at("counts", F.lit(c)), F.lit(0)) for c in COMMON_CHARACTERS])
+    rare = F.map_filter("counts", lambda c, n: F.position(c, F.lit(COMMON_CHARACTERS)) == 0)
+
+    def group_sum(group: int) -> Column:
+        chosen = F.filter("common", lambda _, place: place % GROUP_SUMS == group)
+        return F.aggregate(chosen, F.lit(0), lambda acc, n: acc + n)
+
     described = (
         reps.withColumn("length", histogram_length(F.col("hist")))
         .where(F.col("length") > 0)
         .withColumn("ranked", ranked)
-        .withColumn("summary", _summary(F.col("ranked")))
-        .withColumn("counts", F.map_from_entries("hist"))
+        .withColumn("counts", counts)
+        .withColumn("common", common)
+        .withColumn("rare", rare)
+        .withColumns({f"sum{g}": group_sum(g) for g in range(GROUP_SUMS)})
+        .withColumn("sum_rare", F.aggregate(F.map_values("rare"), F.lit(0), lambda acc, n: acc + n))
         .withColumn("own_band", F.floor(F.log(F.col("length")) / step).cast("int"))
-        .drop("hist", "copies")
+        .drop("hist", "copies", "counts")
     )
     placed = (
         described.withColumn("visit", F.explode(F.array(F.lit(0), F.lit(1))))
@@ -133,50 +140,40 @@ def _join_rows(reps: DataFrame, floor: float) -> DataFrame:
             "signatures", F.when(F.col("segments") > 1, signatures).otherwise(F.array(F.lit(0).cast("long")))
         )
     )
-    return placed.select(
-        "*", F.posexplode("signatures").alias("segment", "signature")
-    ).select(
-        F.struct("block", "band", "segment", "signature").alias("key"),
-        "id",
-        "home",
-        "length",
-        "summary",
-        "counts",
-        "signatures",
-        "segment",
-        "min_score",
+    return placed.select("*", F.posexplode("signatures").alias("segment", "signature")).select(
+        F.struct("block", "band", "segment", "signature").alias("key"), "home", "segment", *_PAYLOAD
     )
 
 
-_PAYLOAD = ("id", "length", "summary", "counts", "signatures", "min_score")
-
-
 def _prefixed(rows: DataFrame, prefix: str) -> DataFrame:
     """Rename a row's own columns; join columns keep their names."""
     return rows.withColumnsRenamed({c: prefix + c for c in (*_PAYLOAD, "home")})
 
 
 def _close_enough(floor: float) -> Column:
-    """Cheap necessary conditions: length ratio and summary distance."""
+    """Cheap necessary condition: distance of the group sums."""
     total = F.col("l_length") + F.col("r_length")
-    distance = sum(
-        (F.abs(F.col("l_summary")[i] - F.col("r_summary")[i]) for i in range(1, SUMMARY_SIZE)),
-        F.abs(F.col("l_summary")[0] - F.col("r_summary")[0]),
-    )
+    distance = reduce(add, (F.abs(F.col(f"l_{c}") - F.col(f"r_{c}")) for c in _SUMS))
     return distance <= total * F.lit((1 - floor) / (1 + floor)) + 1e-6
 
 
 def _first_shared_segment() -> Column:
     """The pair meets once per shared segment; only the first meeting counts."""
-    earlier = F.lit(True)
-    for i in range(MAX_SEGMENTS - 1):
-        differs = F.get("l_signatures", F.lit(i)) != F.get("r_signatures", F.lit(i))
-        earlier = earlier & ((F.col("segment") <= i) | differs)
-    return earlier
+    agree = F.zip_with("l_signatures", "r_signatures", lambda x, y: x == y)
+    return (F.col("segment") == 0) | (F.array_position(agree, F.lit(True)) == F.col("segment") + 1)
 
 
 def _score() -> Column:
-    return char_jaccard(F.col("l_counts"), F.col("r_counts"), F.col("l_length"), F.col("r_length"))
+    """Exact character-multiset Jaccard of two different, non-empty texts."""
+    total = F.col("l_length") + F.col("r_length")
+
+    apart = F.aggregate(F.zip_with("l_common", "r_common", lambda a, b: F.abs(a - b)), F.lit(0), lambda acc, n: acc + n)
+    rare = F.map_zip_with(
+        "l_rare", "r_rare", lambda _, a, b: F.abs(F.coalesce(a, F.lit(0)) - F.coalesce(b, F.lit(0)))
+    )
+    none_rare = (F.col("l_sum_rare") == 0) & (F.col("r_sum_rare") == 0)
+    apart = apart + F.when(none_rare, F.lit(0)).otherwise(F.aggregate(F.map_values(rare), F.lit(0), lambda acc, n: acc + n))
+    return (total - apart) / (total + apart)
 
 
 def _matches(left: DataFrame, right: DataFrame, condition: Column, floor: float, tile_rows: int) -> DataFrame:
@@ -233,7 +230,7 @@ def similar_pairs(
     to their representative instead of all pairs among them.
     """
     prints, reps = _prepare(products, keys, text, threshold)
-    rows = _join_rows(reps, threshold.floor)
+    rows = materialize(_join_rows(reps, threshold.floor))
     return copy_edges(prints, reps).unionByName(_open_pairs(rows, threshold.floor, tile_rows))
 
 
@@ -338,7 +335,8 @@ def similar_clusters(
     ``lid`` and ``rid``) are kept and may join clusters.
     """
     prints, reps = _prepare(products, keys, text, threshold)
-    edges = _linking_edges(_join_rows(reps, threshold.floor), threshold.floor, tile_rows).select("lid", "rid")
+    rows = materialize(_join_rows(reps, threshold.floor))
+    edges = _linking_edges(rows, threshold.floor, tile_rows).select("lid", "rid")
     if prior is not None:
         edges = edges.unionByName(copy_edges(prints, reps).select("lid", "rid"))
         return connected_components(edges.unionByName(prior.select("lid", "rid")))
