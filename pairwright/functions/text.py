@@ -7,7 +7,7 @@ Patterns are written once and run with Unicode character classes, so ``\\w``,
 from __future__ import annotations
 
 import re
-from collections.abc import Iterable, Mapping
+from collections.abc import Callable, Iterable, Mapping
 
 from pyspark.sql import Column, functions as F
 
@@ -41,10 +41,20 @@ def whitespace_tokens(c: Column) -> Column:
     return F.regexp_extract_all(c, F.lit(r"(?U)\S+"), F.lit(0))
 
 
+def bind(value: Column, use: Callable[[Column], Column]) -> Column:
+    """Use a value several times in one expression while writing it into the plan once.
+
+    Keys are built in layers; naming a layer's input twice would double the plan
+    with every layer.
+    """
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
 def sorted_unique(tokens: Column) -> Column:
     """Distinct tokens in code-point order, joined by spaces; null when there are none."""
-    ordered = F.sort_array(F.array_distinct(tokens))
-    return F.when(F.size(ordered) > 0, F.array_join(ordered, " "))
+    return bind(
+        F.sort_array(F.array_distinct(tokens)), lambda a: F.when(F.size(a) > 0, F.array_join(a, " "))
+    )
 
 
 def token_set_text(c: Column) -> Column:

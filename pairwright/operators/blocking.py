@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, functions as F
 
 from .. import fixed_values as fixed
+from ..session import materialize
 from .keys import baseline_key
 from .tiles import TILE_ROWS, spread
 
@@ -51,7 +52,7 @@ def adaptive_blocks(
     others are null). All prefix sizes come from one count per full key, so the
     rows themselves are shuffled for that count's partial results only.
     """
-    full = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
+    full = materialize(rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")))
     levels = full.select(F.struct(*keys).alias("full_key"), *keys, "n")
     for depth in range(1, len(keys)):
         prefix = F.struct(*keys[:depth])

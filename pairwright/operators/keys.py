@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from .. import fixed_values as fixed
-from ..functions.text import canonical_key, extract_key, java_pattern
+from ..functions.text import bind, canonical_key, extract_key, java_pattern
 
 UNSTRUCTURED_KEYS = ("companies", "cpu_gpu_companies", "intel_cpu", "nvidia_gpu")
 STRUCTURED_KEYS = ("companies", "format", "capacity", "product_series")
@@ -34,10 +34,10 @@ def chip_maker_key(text: Column) -> Column:
 
 
 def storage_maker_key(brand: Column, text: Column) -> Column:
-    """Makers named in the brand field or the text, product lines folded to their makers."""
+    """Makers named in the brand field or the text, product lines folded to their makers; null if none."""
     in_text = extract_key(text, bounded(fixed.STORAGE_MAKER_WORDS), 1)
     both = F.concat(F.coalesce(brand, F.lit("")), F.lit(" "), F.coalesce(in_text, F.lit("")))
-    return F.nullif(canonical_key(both, fixed.STORAGE_MAKER_MAPPING, fixed.STORAGE_MAKER_WORDS), F.lit(""))
+    return canonical_key(both, fixed.STORAGE_MAKER_MAPPING, fixed.STORAGE_MAKER_WORDS)
 
 
 def format_key(text: Column) -> Column:
@@ -45,7 +45,10 @@ def format_key(text: Column) -> Column:
     once = canonical_key(
         extract_key(text, bounded(fixed.FORMAT_WORDS), 1), fixed.FORMAT_MAPPING, fixed.FORMAT_WORDS
     )
-    corrected = F.when(F.contains(once, F.lit("microsd")), F.replace(once, F.lit("sd"), F.lit(""))).otherwise(once)
+    corrected = bind(
+        once,
+        lambda c: F.when(F.contains(c, F.lit("microsd")), F.replace(c, F.lit("sd"), F.lit(""))).otherwise(c),
+    )
     return canonical_key(corrected, fixed.FORMAT_MAPPING, fixed.FORMAT_WORDS)
 
 

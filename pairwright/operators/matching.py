@@ -10,7 +10,8 @@ The similarity of two texts depends on their character histograms only, and
 2. Lengths may differ by a factor of t at most: representatives join within a
    geometric length band and its neighbour only.
 3. If at most r characters may differ and the alphabet is cut into r+1 segments,
-   some segment agrees completely. Short texts join on a segment's signature.
+   some segment agrees completely. Where many short texts share a block and band,
+   they join on a segment's signature.
 4. A few sums over groups of characters bound the distance from below; they are
    compared inside the join condition before any histogram is.
 
@@ -34,10 +35,11 @@ from ..functions.text import char_histogram
 from ..session import materialize
 from .blocking import baseline_blocks, block_of
 from .cluster import connected_components
-from .tiles import TILE_ROWS, hot_groups, spread
+from .tiles import TILE_ROWS, hot_groups, spread, unspread
 
 GROUP_SUMS = 6
 MAX_SEGMENTS = 8
+CROWD_ROWS = 1024
 LEADER_ROUNDS = 3
 # Characters with a fixed place in the count array, by falling frequency. Neighbours in
 # this order go to different segments and sums. All other characters are in a map.
@@ -94,8 +96,16 @@ _SUMS = (*[f"sum{g}" for g in range(GROUP_SUMS)], "sum_rare")
 _PAYLOAD = ("id", "length", *_SUMS, "common", "rare", "signatures", "min_score")
 
 
-def _join_rows(reps: DataFrame, floor: float) -> DataFrame:
-    """Representatives keyed by block, length band and segment signature.
+@dataclass(frozen=True)
+class JoinRows:
+    """Rows ready to be joined on ``key``; ``crowded`` if some key may hold many of them."""
+
+    rows: DataFrame
+    crowded: bool
+
+
+def _join_rows(reps: DataFrame, floor: float, crowd_rows: int) -> JoinRows:
+    """Representatives keyed by block and length band, in crowded bands also by segment signature.
 
     A pair is found in the band of its longer text: every row is at home in its
     own band and visits the next one as a possibly shorter partner.
@@ -134,15 +144,26 @@ def _join_rows(reps: DataFrame, floor: float) -> DataFrame:
         described.withColumn("visit", F.explode(F.array(F.lit(0), F.lit(1))))
         .withColumn("band", F.col("own_band") + F.col("visit"))
         .withColumn("home", F.col("visit") == 0)
-        .withColumn("segments", segments)
-        .withColumn("segments", F.when(F.col("segments") > MAX_SEGMENTS, 1).otherwise(F.col("segments")))
-        .withColumn(
-            "signatures", F.when(F.col("segments") > 1, signatures).otherwise(F.array(F.lit(0).cast("long")))
-        )
-    )
-    return placed.select("*", F.posexplode("signatures").alias("segment", "signature")).select(
-        F.struct("block", "band", "segment", "signature").alias("key"), "home", "segment", *_PAYLOAD
+        .withColumn("key", F.struct("block", "band"))
     )
+    crowds = hot_groups(placed, "key", crowd_rows)
+    if crowds is None:
+        whole = placed.withColumns(
+            {"segment": F.lit(0), "signature": F.lit(0).cast("long"), "signatures": F.array(F.lit(0).cast("long"))}
+        )
+    else:
+        usable = F.col("crowd") & (segments <= MAX_SEGMENTS)
+        whole = (
+            placed.join(crowds.withColumn("crowd", F.lit(True)), "key", "left")
+            .withColumn("segments", F.when(usable, segments).otherwise(1))
+            .withColumn(
+                "signatures",
+                F.when(F.col("segments") > 1, signatures).otherwise(F.array(F.lit(0).cast("long"))),
+            )
+            .select("*", F.posexplode("signatures").alias("segment", "signature"))
+        )
+    key = F.struct("block", "band", "segment", "signature").alias("key")
+    return JoinRows(materialize(whole.select(key, "home", "segment", *_PAYLOAD)), crowds is not None)
 
 
 def _prefixed(rows: DataFrame, prefix: str) -> DataFrame:
@@ -176,9 +197,11 @@ def _score() -> Column:
     return (total - apart) / (total + apart)
 
 
-def _matches(left: DataFrame, right: DataFrame, condition: Column, floor: float, tile_rows: int) -> DataFrame:
-    """Join two sides on their spread key, check cheaply, score what is left."""
-    left, right = spread(left, right, "key", "id", tile_rows)
+def _matches(
+    left: DataFrame, right: DataFrame, condition: Column, floor: float, tile_rows: int | None
+) -> DataFrame:
+    """Join two sides on their key, check cheaply, score what is left. No ``tile_rows``: no hot keys."""
+    left, right = unspread(left, right) if tile_rows is None else spread(left, right, "key", "id", tile_rows)
     met = _prefixed(left, "l_").join(_prefixed(right, "r_").drop("segment"), ["key", "left_tile", "right_tile"])
     swap = F.col("l_id") > F.col("r_id")
     return (
@@ -193,7 +216,7 @@ def _matches(left: DataFrame, right: DataFrame, condition: Column, floor: float,
     )
 
 
-def _open_pairs(rows: DataFrame, floor: float, tile_rows: int) -> DataFrame:
+def _open_pairs(rows: DataFrame, floor: float, tile_rows: int | None) -> DataFrame:
     """All similar pairs of the rows: home with home (once) and home with visitor."""
     once = ~F.col("r_home") | (F.col("l_id") < F.col("r_id"))
     return _matches(rows.where("home"), rows, once, floor, tile_rows)
@@ -221,6 +244,7 @@ def similar_pairs(
     keys: Sequence[str],
     text: str,
     threshold: Threshold,
+    crowd_rows: int = CROWD_ROWS,
     tile_rows: int = TILE_ROWS,
 ) -> DataFrame:
     """Scored match edges ``(lid, rid, score)``.
@@ -230,8 +254,9 @@ def similar_pairs(
     to their representative instead of all pairs among them.
     """
     prints, reps = _prepare(products, keys, text, threshold)
-    rows = materialize(_join_rows(reps, threshold.floor))
-    return copy_edges(prints, reps).unionByName(_open_pairs(rows, threshold.floor, tile_rows))
+    keyed = _join_rows(reps, threshold.floor, min(crowd_rows, tile_rows))
+    found = _open_pairs(keyed.rows, threshold.floor, tile_rows if keyed.crowded else None)
+    return copy_edges(prints, reps).unionByName(found)
 
 
 def _link_to_leaders(rows: DataFrame, tile_rows: int) -> tuple[DataFrame, list[DataFrame]]:
@@ -292,24 +317,26 @@ def _link_to_leaders(rows: DataFrame, tile_rows: int) -> tuple[DataFrame, list[D
     return rows, edges
 
 
-def _linking_edges(rows: DataFrame, floor: float, tile_rows: int) -> DataFrame:
+def _linking_edges(keyed_rows: JoinRows, floor: float, tile_rows: int) -> DataFrame:
     """Enough match edges among representatives to connect every cluster."""
-    rows, edges = _link_to_leaders(rows, tile_rows)
+    if not keyed_rows.crowded:
+        return _open_pairs(keyed_rows.rows, floor, None)
+    rows, edges = _link_to_leaders(keyed_rows.rows, tile_rows)
     if not edges:
-        found = _open_pairs(rows.drop("tag", "targets"), floor, tile_rows)
+        found = _open_pairs(rows.drop("tag", "targets"), floor, None)
     else:
         free = rows.where(F.col("tag").isNull()).drop("tag", "targets")
         found = _open_pairs(free, floor, tile_rows)
 
-        def keyed(side: DataFrame, family: str) -> DataFrame:
+        def by_family(side: DataFrame, family: str) -> DataFrame:
             joint = F.struct("key", F.col(family).alias("family"))
             return side.withColumn("key", joint).drop("tag", "targets", "target")
 
         outside = rows.where(F.size("targets") > 0).withColumn("target", F.explode("targets"))
         either_home = F.col("l_home") | F.col("r_home")
         across = _matches(
-            keyed(outside, "target"),
-            keyed(rows.where(F.col("tag").isNotNull()), "tag"),
+            by_family(outside, "target"),
+            by_family(rows.where(F.col("tag").isNotNull()), "tag"),
             either_home,
             floor,
             tile_rows,
@@ -326,6 +353,7 @@ def similar_clusters(
     text: str,
     threshold: Threshold,
     prior: DataFrame | None = None,
+    crowd_rows: int = CROWD_ROWS,
     tile_rows: int = TILE_ROWS,
 ) -> DataFrame:
     """Cluster records whose similarity chains reach each other: ``(id, cluster_id)``.
@@ -335,8 +363,8 @@ def similar_clusters(
     ``lid`` and ``rid``) are kept and may join clusters.
     """
     prints, reps = _prepare(products, keys, text, threshold)
-    rows = materialize(_join_rows(reps, threshold.floor))
-    edges = _linking_edges(rows, threshold.floor, tile_rows).select("lid", "rid")
+    keyed = _join_rows(reps, threshold.floor, min(crowd_rows, tile_rows))
+    edges = _linking_edges(keyed, threshold.floor, tile_rows).select("lid", "rid")
     if prior is not None:
         edges = edges.unionByName(copy_edges(prints, reps).select("lid", "rid"))
         return connected_components(edges.unionByName(prior.select("lid", "rid")))

@@ -34,14 +34,19 @@ def _tiles(size: str, tile_rows: int) -> Column:
     return F.greatest(F.ceil(F.coalesce(F.col(size), F.lit(1)) / tile_rows), F.lit(1)).cast("int")
 
 
+def unspread(left: DataFrame, right: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """What :func:`spread` yields when no key is hot: constant tiles, nothing copied."""
+    flat = {"left_tile": F.lit(0), "right_tile": F.lit(0)}
+    return left.withColumns(flat), right.withColumns(flat)
+
+
 def spread(
     left: DataFrame, right: DataFrame, key: str, salt: str, tile_rows: int = TILE_ROWS
 ) -> tuple[DataFrame, DataFrame]:
     """Prepare two sides for a join on ``key, left_tile, right_tile``.
 
-    Without hot keys the tiles are constant and nothing is copied. ``key`` is one
-    column (a struct for several parts); struct fields compare null-safely, so
-    missing key parts match each other.
+    ``key`` is one column (a struct for several parts); struct fields compare
+    null-safely, so missing key parts match each other.
     """
     one, none = F.lit(1), F.lit(0)
     sizes = (
@@ -52,10 +57,7 @@ def spread(
         .where((F.greatest("on_left", "on_right") > tile_rows) & (F.least("on_left", "on_right") > 0))
     )
     if sizes.isEmpty():
-        return (
-            left.withColumn("left_tile", none).withColumn("right_tile", none),
-            right.withColumn("left_tile", none).withColumn("right_tile", none),
-        )
+        return unspread(left, right)
     sizes = checked_broadcast(materialize(sizes))
 
     def dealt(rows: DataFrame, own: str, own_size: str, other: str, other_size: str) -> DataFrame:

@@ -41,7 +41,7 @@ from ..operators.normalize import (
     normalize_unstructured,
     translate_and_sort,
 )
-from ..session import scratch_path
+from ..session import materialize, scratch_path
 from ..sources.sinks import write_pairs
 from ..sources.tables import first_by_id, read_results, truth_pairs
 from . import oracle as o
@@ -252,7 +252,7 @@ SELECT id, block_level, capacity, CASE WHEN block_level > 1 THEN format END AS f
 )
 def adaptive_blocking(spark, sf):
     keys = ("capacity", "format", "companies", "product_series")
-    blocks = blocking.adaptive_blocks(blocking_structured(spark, sf), keys, ADAPTIVE_ROWS)
+    blocks = blocking.adaptive_blocks(materialize(blocking_structured(spark, sf)), keys, ADAPTIVE_ROWS)
     return blocks.select("id", "block_level", *[F.col("block")[k].alias(k) for k in keys])
 
 

@@ -167,20 +167,21 @@ def matches(source: str, keys: Iterable[str], text: str, min_score: str) -> str:
     block = ", ".join(keys)
     same_block = " AND ".join(f"a.{k} IS NOT DISTINCT FROM b.{k}" for k in keys)
     return f"""
-rows_in AS (SELECT id, {block}, coalesce({text}, '') AS txt FROM ({source})),
-chars AS (SELECT id, c, count(*) AS n FROM (
+rows_in AS MATERIALIZED (SELECT id, {block}, coalesce({text}, '') AS txt FROM ({source})),
+chars AS MATERIALIZED (SELECT id, c, count(*) AS n FROM (
             SELECT id, unnest(string_split(lower(txt), '')) AS c FROM rows_in) WHERE c <> '' GROUP BY id, c),
 hists AS (SELECT id, string_agg(c || n, ',' ORDER BY c) AS hist, sum(n) AS len FROM chars GROUP BY id),
 blocked AS (SELECT r.id, {block}, coalesce(hist, '') AS hist, coalesce(len, 0) AS len,
                    count(*) OVER (PARTITION BY {block}) AS block_rows
             FROM rows_in r LEFT JOIN hists h ON r.id = h.id),
-named AS (SELECT *, min(id) OVER (PARTITION BY {block}, hist) AS rep FROM blocked),
-shared AS (SELECT a.id AS lid, b.id AS rid, sum(least(x.n, y.n)) AS common, max(a.len + b.len) AS total,
-                  max(a.block_rows) AS block_rows
-           FROM named a JOIN named b ON {same_block} AND a.id < b.id
-                AND least(a.len, b.len) >= 0.8 * greatest(a.len, b.len)
-           JOIN chars x ON x.id = a.id JOIN chars y ON y.id = b.id AND y.c = x.c
-           WHERE a.id = a.rep AND b.id = b.rep GROUP BY a.id, b.id),
+named AS MATERIALIZED (SELECT *, min(id) OVER (PARTITION BY {block}, hist) AS rep FROM blocked),
+near AS MATERIALIZED (
+  SELECT a.id AS lid, b.id AS rid, a.len + b.len AS total, a.block_rows AS block_rows
+  FROM named a JOIN named b ON {same_block} AND a.id < b.id
+  WHERE a.id = a.rep AND b.id = b.rep AND least(a.len, b.len) >= 0.8 * greatest(a.len, b.len)),
+shared AS (SELECT lid, rid, sum(least(x.n, y.n)) AS common, any_value(total) AS total,
+                  any_value(block_rows) AS block_rows
+           FROM near JOIN chars x ON x.id = lid JOIN chars y ON y.id = rid AND y.c = x.c GROUP BY lid, rid),
 edges AS (SELECT rep AS lid, id AS rid, CAST(1.0 AS DOUBLE) AS score FROM named WHERE rep <> id
           UNION ALL
           SELECT lid, rid, CAST(common AS DOUBLE) / (total - common) FROM shared

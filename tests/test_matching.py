@@ -70,11 +70,11 @@ def frame(spark, rows):
 
 @pytest.mark.parametrize("t", [0.85, 0.925])
 @pytest.mark.parametrize("short", [True, False])
-@pytest.mark.parametrize("tile", [4096, 7])
-def test_pairs_equal_brute_force(spark, t, short, tile):
+@pytest.mark.parametrize("crowd, tile", [(4096, 4096), (5, 4096), (5, 7)])
+def test_pairs_equal_brute_force(spark, t, short, crowd, tile):
     rows = corpus(150, 3, short)
     expected = brute_edges(rows, t)
-    got = similar_pairs(frame(spark, rows), ["k1", "k2"], "text", Threshold(t), tile_rows=tile).collect()
+    got = similar_pairs(frame(spark, rows), ["k1", "k2"], "text", Threshold(t), crowd, tile).collect()
     found = {(r.lid, r.rid): r.score for r in got}
     assert len(found) == len(got)
     texts = {i: (k1, k2, tuple(sorted(text.lower()))) for i, k1, k2, text in rows}
@@ -92,12 +92,14 @@ def test_pairs_equal_brute_force(spark, t, short, tile):
     assert closure(list(found)) == closure(list(expected))
 
 
-@pytest.mark.parametrize("tile", [4096, 40, 6])
-def test_clusters_equal_brute_force(spark, tile):
+@pytest.mark.parametrize("crowd, tile", [(1024, 4096), (10, 40), (3, 6)])
+def test_clusters_equal_brute_force(spark, crowd, tile):
     for short in (True, False):
         rows = corpus(250, 11, short)
         expected = closure(list(brute_edges(rows, 0.9)))
-        got = similar_clusters(frame(spark, rows), ["k1", "k2"], "text", Threshold(0.9), tile_rows=tile).collect()
+        got = similar_clusters(
+            frame(spark, rows), ["k1", "k2"], "text", Threshold(0.9), crowd_rows=crowd, tile_rows=tile
+        ).collect()
         assert {r.id: r.cluster_id for r in got} == expected
         assert len(got) == len(expected)
 
@@ -105,8 +107,9 @@ def test_clusters_equal_brute_force(spark, tile):
 def test_leaders_are_used_for_hot_keys(spark):
     rows = corpus(250, 11, False)
     prints, reps = matching._prepare(frame(spark, rows), ["k1", "k2"], "text", Threshold(0.9))
-    keyed = matching._join_rows(reps, 0.9)
-    linked, edges = matching._link_to_leaders(keyed, 6)
+    keyed = matching._join_rows(reps, 0.9, 6)
+    assert keyed.crowded
+    linked, edges = matching._link_to_leaders(keyed.rows, 6)
     assert edges
     assert linked.where("tag is not null").count() > 0
 
