@@ -37,7 +37,7 @@ from .blocking import baseline_blocks, block_of
 from .cluster import connected_components
 from .tiles import TILE_ROWS, hot_groups, spread, unspread
 
-GROUP_SUMS = 6
+GROUP_SUMS = 12
 MAX_SEGMENTS = 8
 CROWD_ROWS = 1024
 LEADER_ROUNDS = 3
@@ -126,17 +126,18 @@ def _join_rows(reps: DataFrame, floor: float, crowd_rows: int) -> JoinRows:
 
     def group_sum(group: int) -> Column:
         chosen = F.filter("common", lambda _, place: place % GROUP_SUMS == group)
-        return F.aggregate(chosen, F.lit(0), lambda acc, n: acc + n)
+        return F.aggregate(chosen, F.lit(0), lambda acc, n: acc + n).cast("double")
 
     described = (
-        reps.withColumn("length", histogram_length(F.col("hist")))
+        # Doubles are exact here and, unlike integers, compared without overflow checks.
+        reps.withColumn("length", histogram_length(F.col("hist")).cast("double"))
         .where(F.col("length") > 0)
         .withColumn("ranked", ranked)
         .withColumn("counts", counts)
         .withColumn("common", common)
         .withColumn("rare", rare)
         .withColumns({f"sum{g}": group_sum(g) for g in range(GROUP_SUMS)})
-        .withColumn("sum_rare", F.aggregate(F.map_values("rare"), F.lit(0), lambda acc, n: acc + n))
+        .withColumn("sum_rare", F.aggregate(F.map_values("rare"), F.lit(0), lambda acc, n: acc + n).cast("double"))
         .withColumn("own_band", F.floor(F.log(F.col("length")) / step).cast("int"))
         .drop("hist", "copies", "counts")
     )
@@ -203,16 +204,16 @@ def _matches(
     """Join two sides on their key, check cheaply, score what is left. No ``tile_rows``: no hot keys."""
     left, right = unspread(left, right) if tile_rows is None else spread(left, right, "key", "id", tile_rows)
     met = _prefixed(left, "l_").join(_prefixed(right, "r_").drop("segment"), ["key", "left_tile", "right_tile"])
+    near = met.where(condition & (F.col("l_id") != F.col("r_id")) & _close_enough(floor))
+    # Scored in a generator of its own: the optimizer would move a filter on the score into
+    # the join condition, evaluate it twice and take the join out of generated code.
+    scores = F.array(F.when(_first_shared_segment(), _score()))
+    good = F.explode_outer(F.filter(scores, lambda s: s >= F.col("l_min_score")))
     swap = F.col("l_id") > F.col("r_id")
-    return (
-        met.where(condition & (F.col("l_id") != F.col("r_id")) & _close_enough(floor) & _first_shared_segment())
-        .withColumn("score", _score())
-        .where(F.col("score") >= F.col("l_min_score"))
-        .select(
-            F.when(swap, F.col("r_id")).otherwise(F.col("l_id")).alias("lid"),
-            F.when(swap, F.col("l_id")).otherwise(F.col("r_id")).alias("rid"),
-            "score",
-        )
+    return near.select("l_id", "r_id", good.alias("score")).where(F.col("score").isNotNull()).select(
+        F.when(swap, F.col("r_id")).otherwise(F.col("l_id")).alias("lid"),
+        F.when(swap, F.col("l_id")).otherwise(F.col("r_id")).alias("rid"),
+        "score",
     )
 
 
