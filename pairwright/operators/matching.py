@@ -260,10 +260,10 @@ def similar_pairs(
     return copy_edges(prints, reps).unionByName(found)
 
 
-def _link_to_leaders(rows: DataFrame, tile_rows: int) -> tuple[DataFrame, list[DataFrame]]:
-    """Thin out hot join keys without changing any cluster.
+def _link_to_leaders(rows: DataFrame, crowd_rows: int) -> tuple[DataFrame, list[DataFrame]]:
+    """Thin out crowded join keys without changing any cluster.
 
-    In each round every key that still holds too many untagged rows picks a
+    In each round every key that still holds more than ``crowd_rows`` untagged rows picks a
     leader and compares those rows with it, a linear amount of work. Rows similar
     to the leader get an edge to it and the round's number as their tag: they are
     one cluster from then on and need not be compared with each other.
@@ -279,7 +279,7 @@ def _link_to_leaders(rows: DataFrame, tile_rows: int) -> tuple[DataFrame, list[D
     edges: list[DataFrame] = []
     for number in range(LEADER_ROUNDS):
         untagged = rows.where(F.col("tag").isNull())
-        hot = hot_groups(untagged, "key", tile_rows)
+        hot = hot_groups(untagged, "key", crowd_rows)
         if hot is None:
             break
         crowd = untagged.join(hot, "key", "left_semi")
@@ -318,11 +318,11 @@ def _link_to_leaders(rows: DataFrame, tile_rows: int) -> tuple[DataFrame, list[D
     return rows, edges
 
 
-def _linking_edges(keyed_rows: JoinRows, floor: float, tile_rows: int) -> DataFrame:
+def _linking_edges(keyed_rows: JoinRows, floor: float, crowd_rows: int, tile_rows: int) -> DataFrame:
     """Enough match edges among representatives to connect every cluster."""
     if not keyed_rows.crowded:
         return _open_pairs(keyed_rows.rows, floor, None)
-    rows, edges = _link_to_leaders(keyed_rows.rows, tile_rows)
+    rows, edges = _link_to_leaders(keyed_rows.rows, crowd_rows)
     if not edges:
         found = _open_pairs(rows.drop("tag", "targets"), floor, None)
     else:
@@ -364,8 +364,9 @@ def similar_clusters(
     ``lid`` and ``rid``) are kept and may join clusters.
     """
     prints, reps = _prepare(products, keys, text, threshold)
-    keyed = _join_rows(reps, threshold.floor, min(crowd_rows, tile_rows))
-    edges = _linking_edges(keyed, threshold.floor, tile_rows).select("lid", "rid")
+    crowd_rows = min(crowd_rows, tile_rows)
+    keyed = _join_rows(reps, threshold.floor, crowd_rows)
+    edges = _linking_edges(keyed, threshold.floor, crowd_rows, tile_rows).select("lid", "rid")
     if prior is not None:
         edges = edges.unionByName(copy_edges(prints, reps).select("lid", "rid"))
         return connected_components(edges.unionByName(prior.select("lid", "rid")))

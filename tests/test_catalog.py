@@ -35,6 +35,8 @@ def content(columns, rows):
 def test_query(spark, oracle, name):
     df = registered.queries()[name](spark, str(DATA))
     got = content(df.columns, df.collect())
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert "CartesianProduct" not in plan and "NestedLoop" not in plan
     sql = registered.oracle_sql().get(name)
     if sql is None:
         assert got[1]
