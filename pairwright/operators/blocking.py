@@ -50,7 +50,8 @@ def adaptive_blocks(
 
     Adds ``block_level`` (how many keys count) and ``block`` (those keys; the
     others are null). All prefix sizes come from one count per full key, so the
-    rows themselves are shuffled for that count's partial results only.
+    rows themselves are shuffled once, to meet their level. They are read twice:
+    hand in a written table when computing the keys is costly.
     """
     full = materialize(rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")))
     levels = full.select(F.struct(*keys).alias("full_key"), *keys, "n")

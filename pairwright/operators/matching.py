@@ -391,7 +391,8 @@ def baseline_matches(
     Keys with ``max_rows`` records or more are too common to mean anything and
     are skipped; this is part of the method, and it bounds every join group.
     """
-    blocks = baseline_blocks(products, text).select("block_key", "id", name_tokens(F.col(text)).alias("tokens"))
+    keyed = baseline_blocks(products, text).select("block_key", "id", name_tokens(F.col(text)).alias("tokens"))
+    blocks = materialize(keyed)
     rare = blocks.groupBy("block_key").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") < max_rows)
     kept = blocks.join(rare, "block_key", "left_semi")
     left = kept.select("block_key", F.col("id").alias("lid"), F.col("tokens").alias("l_tokens"))

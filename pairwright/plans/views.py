@@ -10,6 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..rules import StopGroup
+from ..session import materialize
 from ..sources.tables import spread_small
 
 # Vocabularies for the registered queries: small, and made for these tables.
@@ -146,10 +147,13 @@ def star_pairs(rows: DataFrame, *group: str) -> DataFrame:
 
 
 def known_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Documents equal but for case and whitespace; grouped by a digest, not by whole texts."""
+    """Documents equal but for case and whitespace; grouped by a digest, not by whole texts.
+
+    The digests are written, so that grouping and joining read the texts once.
+    """
     text = F.trim(F.regexp_replace(F.lower("title"), r"\s+", " "))
     keyed = documents(spark, sf_dir).select("id", F.sha2(text, 256).alias("digest"))
-    return star_pairs(keyed, "digest")
+    return star_pairs(materialize(keyed), "digest")
 
 
 def reported_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
