@@ -7,10 +7,8 @@ from collections.abc import Iterable, Mapping
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 
-from ..operators.blocking import adaptive_blocks
-from ..operators.evaluate import evaluate_baseline, evaluate_pairs
 from ..operators.cluster import connected_components, expand_pairs
-from ..operators.evaluate import classify_pairs
+from ..operators.evaluate import classify_pairs, evaluate_baseline, evaluate_pairs
 from ..operators.keys import STRUCTURED_KEYS, UNSTRUCTURED_KEYS, add_structured_keys, add_unstructured_keys
 from ..operators.matching import (
     STRUCTURED,
@@ -104,17 +102,3 @@ def run_baseline(products: DataFrame, text: str, truth: DataFrame) -> tuple[Data
     """Baseline matches and their metrics."""
     matches = baseline_matches(products, text)
     return matches, evaluate_baseline(truth, matches)
-
-
-__all__ = [
-    "adaptive_blocks",
-    "block_structured",
-    "block_unstructured",
-    "cluster_structured",
-    "cluster_unstructured",
-    "pairs_structured",
-    "pairs_unstructured",
-    "results_are_current",
-    "run_and_evaluate",
-    "run_baseline",
-]
