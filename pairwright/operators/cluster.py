@@ -2,95 +2,98 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
-import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from ..session import discard, materialize, scratch_path
-from .tiles import TILE_ROWS, spread
+from .tiles import BROADCAST_KEYS, TILE_ROWS, spread
 
+HOT_COPIES = 16
 
-def contract_edges(pairs: DataFrame) -> DataFrame:
-    """Fewer edges, same components: what map-side combining is to an aggregation.
 
-    Works batch by batch where the edges already are, before anything is
-    shuffled. A dense group of n records shrinks from up to n*n edges to about n.
-    Missing ids and self-pairs link nothing.
-    """
+def lookup(rows: DataFrame, key: str, table: DataFrame, value: str, size: int | None = None) -> DataFrame:
+    """Replace ``key`` by the value ``table`` (one row ``id, value`` per id) has for it.
 
-    # A local function travels to the workers by value; they need no copy of this package.
-    def forest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """Reduce each batch of edges to one edge per id, to the smallest id it reaches within the batch."""
-        for batch in batches:
-            parent: dict = {}
-
-            def root(x):
-                while parent.setdefault(x, x) != x:
-                    parent[x] = x = parent[parent[x]]
-                return x
-
-            for a, b in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                a, b = root(a), root(b)
-                if a != b:
-                    parent[max(a, b)] = min(a, b)
-            linked = [(root(x), x) for x in list(parent) if root(x) != x]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([pair[i] for pair in linked], batch.schema.field(i).type) for i in (0, 1)],
-                schema=batch.schema,
-            )
-
-    edges = pairs.where(
-        F.col("lid").isNotNull() & F.col("rid").isNotNull() & (F.col("lid") != F.col("rid"))
-    ).select("lid", "rid")
-    return edges.mapInArrow(forest, edges.schema).distinct()
+    Keys without an entry keep their own value. Both sides are written tables.
+    Keys with more than a tile of rows are counted first, combined map-side, and
+    answered by a broadcast of their few entries; should there be too many of
+    them for a broadcast, the entries are copied and the rows dealt among the copies.
+    ``size`` is the number of rows, if known.
+    """
+    found = table.select(F.col("id").alias(key), F.col(value).alias("_value"))
+    replaced = F.coalesce("_value", key).alias(key)
+    others = [c for c in rows.columns if c != key]
+    plain = lambda part: part.join(found, key, "left").select(*others, replaced)
+    if (rows.count() if size is None else size) <= TILE_ROWS:
+        return plain(rows)
+    hot = rows.groupBy(key).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > TILE_ROWS).select(key)
+    hot = materialize(hot.join(found, key))
+    count = hot.count()
+    if not count:
+        return plain(rows)
+    if count <= BROADCAST_KEYS:
+        few = F.broadcast(hot)
+        busy = rows.join(few, key).select(*others, replaced)
+        return busy.unionByName(plain(rows.join(few.select(key), key, "left_anti")))
+    copies = found.withColumn("_copy", F.explode(F.sequence(F.lit(0), F.lit(HOT_COPIES - 1))))
+    dealt = rows.withColumn("_copy", F.pmod(F.xxhash64(*others), F.lit(HOT_COPIES)).cast("int"))
+    return dealt.join(copies, [key, "_copy"], "left").select(*others, replaced)
 
 
 def connected_components(pairs: DataFrame) -> DataFrame:
     """Label every id on an edge with the smallest id it is connected to: ``(id, cluster_id)``.
 
-    Each round takes the smallest label among the neighbours, offers it to the
-    vertex and to the vertex its label points at, and then replaces labels by
-    their labels' labels. Rounds grow with the logarithm of the longest path. The
-    labels are written after every round, which keeps plans short.
+    Rounds of contraction: every vertex is merged into the lowest vertex among
+    itself and its neighbours, the edges are renamed to the merged vertices, and
+    closed or repeated ones disappear. Lowest goes by id and by a fresh random rank
+    in turn: by id a star collapses at once, by rank a constant share of any shape
+    does, so later rounds work on ever smaller tables. Missing ids and self-pairs
+    link nothing.
     """
     spark = pairs.sparkSession
-    edges_path = scratch_path(spark)
-    both_ways = F.array(F.struct("lid", "rid"), F.struct(F.col("rid").alias("lid"), F.col("lid").alias("rid")))
-    edges = materialize(contract_edges(pairs).select(F.explode(both_ways).alias("edge")).select("edge.*"), edges_path)
-
+    clean = pairs.where(
+        F.col("lid").isNotNull() & F.col("rid").isNotNull() & (F.col("lid") != F.col("rid"))
+    ).select(F.least("lid", "rid").alias("lid"), F.greatest("lid", "rid").alias("rid"))
     path = scratch_path(spark)
-    start = edges.groupBy(F.col("lid").alias("id")).agg(F.min("rid").alias("nearest"))
-    labels = materialize(start.select("id", F.least("id", "nearest").alias("cluster_id")), path)
-    while True:
-        nearest = (
-            edges.join(labels.select(F.col("id").alias("rid"), "cluster_id"), "rid")
+    edges = materialize(clean.distinct(), path)
+    merges: list[tuple[DataFrame, str]] = []
+    while left := edges.count():
+        salt = F.lit(len(merges))
+        both = F.array(F.struct("lid", "rid"), F.struct(F.col("rid").alias("lid"), F.col("lid").alias("rid")))
+
+        def rank(c: str) -> Column:
+            return F.struct((F.xxhash64(c, salt) if len(merges) % 2 else F.lit(0)).alias("rank"), F.col(c).alias("id"))
+
+        lowest = (
+            edges.select(F.explode(both).alias("edge"))
+            .select("edge.*")
             .groupBy(F.col("lid").alias("id"))
-            .agg(F.min("cluster_id").alias("nearest"))
-        )
-        seen = labels.join(nearest, "id")
-        own = seen.select(
-            "id", F.least("cluster_id", "nearest").alias("offer"), F.col("cluster_id").alias("before")
-        )
-        hooked = seen.where(F.col("nearest") < F.col("cluster_id")).select(
-            F.col("cluster_id").alias("id"),
-            F.col("nearest").alias("offer"),
-            F.lit(None).cast(labels.schema["cluster_id"].dataType).alias("before"),
+            .agg(F.min(rank("rid")).alias("near"))
+            .select("id", F.least(rank("id"), F.col("near"))["id"].alias("into"))
         )
-        lowered = (
-            own.unionByName(hooked)
-            .groupBy("id")
-            .agg(F.min("offer").alias("label"), F.max("before").alias("before"))
+        merge_path = scratch_path(spark)
+        merge = materialize(lowest, merge_path)
+        merges.append((merge, merge_path))
+        renamed = lookup(edges, "lid", merge, "into", left)
+        renamed = lookup(renamed if left <= TILE_ROWS else materialize(renamed), "rid", merge, "into", left)
+        shrunk = renamed.where("lid <> rid").select(
+            F.least("lid", "rid").alias("lid"), F.greatest("lid", "rid").alias("rid")
         )
-        target = lowered.select(F.col("id").alias("label"), F.col("label").alias("cluster_id"))
         next_path = scratch_path(spark)
-        jumped = materialize(lowered.join(target, "label").select("id", "cluster_id", "before"), next_path)
-        settled = jumped.where(F.col("cluster_id") != F.col("before")).isEmpty()
+        edges = materialize(shrunk.distinct(), next_path)
         discard(spark, path)
-        labels, path = jumped.select("id", "cluster_id"), next_path
-        if settled:
-            discard(spark, edges_path)
-            return labels
+        path = next_path
+    if not merges:
+        return clean.select(F.col("lid").alias("id"), F.col("lid").alias("cluster_id"))
+    roots = merges[-1][0]
+    for merge, _ in reversed(merges[:-1]):
+        roots = materialize(lookup(merge, "into", roots, "into"))
+    smallest = roots.groupBy(F.col("into").alias("id")).agg(F.min("id").alias("smallest"))
+    least = materialize(smallest.select("id", F.least("id", "smallest").alias("smallest")))
+    named = materialize(lookup(roots, "into", least, "smallest").select("id", F.col("into").alias("cluster_id")))
+    for _, merge_path in merges:
+        discard(spark, merge_path)
+    discard(spark, path)
+    return named
 
 
 def cluster_members(clusters: DataFrame) -> DataFrame:
@@ -109,28 +112,26 @@ def with_singletons(clusters: DataFrame, ids: DataFrame) -> DataFrame:
     )
 
 
+def pairs_among(n: str) -> Column:
+    """Number of 2-combinations of ``n`` records, in whole numbers throughout."""
+    return F.expr(f"({n} * ({n} - 1)) div 2")
+
+
 def cluster_sizes(clusters: DataFrame) -> DataFrame:
     """Members and closed pairs (all 2-combinations) per cluster, without listing them."""
-    n = F.col("members")
     return (
         clusters.groupBy("cluster_id")
         .agg(F.count(F.lit(1)).alias("members"))
-        .withColumn("closed_pairs", (n * (n - 1) / 2).cast("long"))
+        .withColumn("closed_pairs", pairs_among("members"))
     )
 
 
-def expand_pairs(
-    clusters: DataFrame, max_pairs: int | None = 1_000_000_000, tile_rows: int = TILE_ROWS
-) -> DataFrame:
+def expand_pairs(clusters: DataFrame, tile_rows: int = TILE_ROWS) -> DataFrame:
     """All pairs ``lid < rid`` inside each cluster.
 
-    Quadratic in cluster size by definition, so the exact number is counted first
-    and an output above ``max_pairs`` is refused (``None`` to allow any). Large
-    clusters are spread over tiles.
+    Quadratic in cluster size by definition; :func:`cluster_sizes` counts them
+    beforehand without listing any. Large clusters are spread over tiles.
     """
-    total = cluster_sizes(clusters).agg(F.sum("closed_pairs")).first()[0] or 0
-    if max_pairs is not None and total > max_pairs:
-        raise ValueError(f"{total} closed pairs exceed max_pairs={max_pairs}; use the clusters instead")
     rows = clusters.select(F.col("cluster_id").alias("key"), "id")
     left, right = spread(rows, rows, "key", "id", tile_rows)
     return (

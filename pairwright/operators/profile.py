@@ -173,8 +173,8 @@ def profile_means(profiled: DataFrame) -> DataFrame:
 
 
 def truth_profile(
-    truth: DataFrame, products: DataFrame, texts: Sequence[str], structured: bool, max_pairs: int | None = 1_000_000_000
+    truth: DataFrame, products: DataFrame, texts: Sequence[str], structured: bool
 ) -> DataFrame:
     """Detailed profile of the closed truth: close, list pairs, attach products, measure."""
-    closed = expand_pairs(connected_components(truth), max_pairs)
+    closed = expand_pairs(connected_components(truth))
     return with_sequence_similarity(pair_profile(closed, products, texts, structured), texts)

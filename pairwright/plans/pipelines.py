@@ -75,7 +75,6 @@ def run_and_evaluate(
     evaluation_path: str,
     read_limit: int | None = None,
     dataset: object = None,
-    max_pairs: int | None = 1_000_000_000,
 ) -> DataFrame:
     """Write result pairs and classified pairs, return the metrics row.
 
@@ -83,9 +82,9 @@ def run_and_evaluate(
     themselves are counted from the clusters.
     """
     spark = products.sparkSession
-    write_pairs(expand_pairs(clusters, max_pairs), results_path, read_limit, dataset)
+    write_pairs(expand_pairs(clusters), results_path, read_limit, dataset)
     found, _ = read_results(spark, results_path)
-    known = expand_pairs(connected_components(truth), max_pairs)
+    known = expand_pairs(connected_components(truth))
     write_evaluation(classify_pairs(known, found), products, evaluation_path)
     return evaluate_pairs(truth, found)
 

@@ -7,7 +7,6 @@ and a lost executor costs only the tasks it was running.
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -16,24 +15,26 @@ from pyspark.sql import DataFrame, SparkSession
 def scratch_root(spark: SparkSession) -> str:
     """Shared folder for intermediate tables, as configured for the session.
 
-    Only a single-machine session (``local[...]``) may go without the setting;
-    it then gets a fresh folder under the system's temporary directory.
+    Only a single-machine session (``local[...]``) may go without the setting; it
+    uses a folder below its warehouse. The session's settings are never changed.
     """
-    configured = spark.conf.get("spark.checkpoint.dir", None)
     context = spark.sparkContext
-    root = configured or context.getCheckpointDir()
+    root = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if root:
         return root
-    if not context.master.startswith("local"):
+    if not context.master.startswith("local") or context.master.startswith("local-cluster"):
         raise RuntimeError("set spark.checkpoint.dir to a folder all executors can reach")
-    root = tempfile.mkdtemp(prefix="pairwright-")
-    context.setCheckpointDir(root)
-    return root
+    return f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/scratch"
+
+
+def run_folder(spark: SparkSession) -> str:
+    """The one folder that holds all intermediate tables of this application."""
+    return f"{scratch_root(spark).rstrip('/')}/pairwright-{spark.sparkContext.applicationId}"
 
 
 def scratch_path(spark: SparkSession) -> str:
-    """A new, unused path below the shared scratch folder."""
-    return f"{scratch_root(spark).rstrip('/')}/pairwright-{uuid.uuid4().hex}"
+    """A new, unused path below the application's scratch folder."""
+    return f"{run_folder(spark)}/{uuid.uuid4().hex}"
 
 
 def materialize(df: DataFrame, path: str | None = None) -> DataFrame:
@@ -53,3 +54,8 @@ def discard(spark: SparkSession, path: str) -> None:
     hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
     file_system = hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration())
     file_system.delete(hadoop_path, True)
+
+
+def clear_scratch(spark: SparkSession) -> None:
+    """Delete the application's intermediate tables, once its results are consumed."""
+    discard(spark, run_folder(spark))
