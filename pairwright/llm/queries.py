@@ -2,19 +2,88 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+import public_tokenizers
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import fingerprints, pii
+import corpus_pipeline
+
+from . import ann, bpe, fingerprints, idfiles, packing, pii, quality, setjoin, tokens, toxicity, warc
 from .common import read
 
+WORD_TOKENIZER = "word_bpe_49k.json"
+BYTE_TOKENIZER = "byte_bpe_50k.json"
+
+
+def vocabulary(name: str) -> str:
+    return tokens.read_file(public_tokenizers.path(name))
+
+
+def op1_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ann.nearest(read(spark, sf_dir, "embeddings", "vec_id", "embedding"), F.col("vec_id") % 100 == 0)
+
+
+def op2_web_archives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    index = warc.archive_and_read(read(spark, sf_dir, "pages", "page_id", "url", "html"))
+    return index.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
 
 def op3_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.digest(read(spark, sf_dir, "documents", "doc_id", "text"))
 
 
+def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack_documents(read(spark, sf_dir, "documents", "doc_id", "text"), vocabulary(WORD_TOKENIZER))
+
+
+def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents", "doc_id", "text", "source", "lang")
+    scored = quality.score_documents(docs, read(spark, sf_dir, "labels"))
+    return scored.select("doc_id", "quality_score", (F.col("quality_score") >= quality.KEEP_SCORE).alias("keep"))
+
+
+def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.score_held_out(read(spark, sf_dir, "documents", "doc_id", "text"), read(spark, sf_dir, "labels"))
+
+
 def op7_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints.compare_edited(read(spark, sf_dir, "documents", "doc_id", "text"))
 
 
-QUERIES = {f.__name__: f for f in (op3_personal_data, op7_fingerprints)}
-ORACLES: dict[str, str] = {}
+def op8_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return setjoin.link_documents(read(spark, sf_dir, "documents", "doc_id", "text"), words=3, percent=90)
+
+
+def op9_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return idfiles.write_and_read(read(spark, sf_dir, "documents", "doc_id", "text"), vocabulary(WORD_TOKENIZER))
+
+
+def op10_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bpe.round_trip(read(spark, sf_dir, "documents", "doc_id", "text"), vocabulary(BYTE_TOKENIZER))
+
+
+QUERIES = {
+    f.__name__: f
+    for f in (
+        op1_nearest_neighbours,
+        op2_web_archives,
+        op3_personal_data,
+        op4_packing,
+        op5_quality,
+        op6_toxicity,
+        op7_fingerprints,
+        op8_ngram_jaccard_join,
+        op9_token_files,
+        op10_bpe_round_trip,
+    )
+} | {"pipeline": corpus_pipeline.run}
+
+ORACLES = {
+    "op2_web_archives": """
+SELECT page_id, payload_bytes, payload_digest,
+       CASE WHEN payload_bytes >= 100 AND first_id < page_id THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN payload_bytes >= 100 AND first_id < page_id THEN first_id END AS refers_to
+FROM (SELECT page_id, CAST(strlen(coalesce(html, '')) AS BIGINT) AS payload_bytes,
+             sha256(coalesce(html, '')) AS payload_digest,
+             min(page_id) OVER (PARTITION BY coalesce(html, '')) AS first_id
+      FROM pages)""",
+}

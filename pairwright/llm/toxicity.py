@@ -269,6 +269,22 @@ def score(docs: DataFrame, model: ToxicityModel, with_hits: bool = False) -> Dat
     return docs.select("doc_id", whole("text").alias("text")).mapInArrow(rate, schema)
 
 
+def reject(docs: DataFrame, model: ToxicityModel, threshold: float = THRESHOLD) -> DataFrame:
+    """Rows whose text scores below the threshold, with all their columns."""
+    shared = docs.sparkSession.sparkContext.broadcast(model)
+    place = docs.columns.index("text")
+
+    def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        scanner = _scanner(shared.value.weights)
+        beta, intercept = np.array(shared.value.coefficients), shared.value.intercept
+        limit = math.log(threshold / (1 - threshold))
+        for batch in batches:
+            rows = np.array([scanner.features(t or "") for t in batch.column(place).to_pylist()]).reshape(-1, len(FEATURES))
+            yield batch.filter(pa.array(rows @ beta + intercept < limit))
+
+    return docs.mapInArrow(keep, docs.schema)
+
+
 def held_out() -> Column:
     """Rows whose labels are kept from the fit: crc32 of the id as text, mod 4, is 2."""
     return F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 4 == 2, F.lit(False))
