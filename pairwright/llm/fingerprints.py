@@ -47,11 +47,11 @@ def sketch(text: Column, fraction: float = FRACTION, floor: int = FLOOR) -> Colu
 
     def choose(all_hashes: Column) -> Column:
         low = F.array_distinct(F.filter(all_hashes, lambda h: h <= F.lit(limit)))
-        short = F.array_sort(F.array_distinct(all_hashes))
+        short = F.sort_array(F.array_distinct(all_hashes))
         few = F.slice(short, 1, floor)
         reach = F.when(F.size(short) <= floor, F.lit(2**63 - 1)).otherwise(F.element_at(few, -1))
         return F.when(
-            F.size(low) >= floor, F.struct(F.lit(limit).alias("reach"), F.array_sort(low).alias("hashes"))
+            F.size(low) >= floor, F.struct(F.lit(limit).alias("reach"), F.sort_array(low).alias("hashes"))
         ).otherwise(F.struct(reach.alias("reach"), few.alias("hashes")))
 
     return F.element_at(F.transform(F.array(shingle_hashes(text)), choose), 1)
@@ -60,7 +60,7 @@ def sketch(text: Column, fraction: float = FRACTION, floor: int = FLOOR) -> Colu
 def merge(left: Column, right: Column) -> Column:
     """Sketch of two texts together, as far as both reach."""
     reach = F.least(left["reach"], right["reach"])
-    both = F.array_sort(F.array_union(left["hashes"], right["hashes"]))
+    both = F.sort_array(F.array_union(left["hashes"], right["hashes"]))
     return F.struct(reach.alias("reach"), F.filter(both, lambda h: h <= reach).alias("hashes"))
 
 
