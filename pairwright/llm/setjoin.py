@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..operators.cluster import connected_components
-from ..session import materialize
+from ..session import discard, materialize, scratch_path
 from .common import add_columns, whole
 
 WORDS = 5
@@ -49,7 +49,7 @@ def shingles(text: Column, words: int) -> Column:
     def over(w: Column) -> Column:
         starts = F.sequence(F.lit(1), F.greatest(F.size(w) - (words - 1), F.lit(1)))
         hashed = F.transform(starts, lambda i: F.xxhash64(F.slice(w, i, words)))
-        return F.when(F.size(w) > 0, F.array_sort(F.array_distinct(hashed))).otherwise(F.array().cast("array<bigint>"))
+        return F.when(F.size(w) > 0, F.sort_array(F.array_distinct(hashed))).otherwise(F.array().cast("array<bigint>"))
 
     return F.element_at(F.transform(F.array(parts), over), 1)
 
@@ -65,43 +65,41 @@ def _linked(shared: Column, a: Column, b: Column, percent: int) -> Column:
     return shared * 100 >= (a + b - shared) * percent
 
 
-def _index(reps: DataFrame, common: list[int], percent: int) -> DataFrame:
-    """Prefix entries ``(shingle, doc, n, place)`` of sets given as ascending hashes (or the lowest of them).
+def _prefixes(reps: DataFrame, common: list[int], percent: int) -> DataFrame:
+    """``doc, n, own, last_common, last``: each set's prefix under the global order, and its last element.
 
-    Sets whose given hashes hold too few that are not common are returned with a null shingle.
+    Sets are given as ascending hashes, or the lowest of them. The order puts common
+    hashes last and goes by hash otherwise. Where the given hashes hold too few that are
+    not common, ``own`` is null.
     """
     shared = reps.sparkSession.sparkContext.broadcast(np.array(sorted(common), dtype=np.int64))
 
-    def entries(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def choose(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         often = shared.value
         for batch in batches:
             flat = batch.column("low").values.to_numpy(zero_copy_only=False)
             ends = batch.column("low").offsets.to_numpy()
-            out: list[list[np.ndarray]] = [[], [], [], []]
-            for i, (doc, n) in enumerate(zip(batch.column("doc").to_pylist(), batch.column("n").to_pylist())):
+            own, commons, lasts = [], [], []
+            for i, n in enumerate(batch.column("n").to_pylist()):
                 low = flat[ends[i] : ends[i + 1]]
                 need = _prefix_size(n, percent)
-                rare = low
+                rare, ends_common = low, False
                 if len(often):
-                    at = np.minimum(np.searchsorted(often, low), len(often) - 1)
-                    is_common = often[at] == low
+                    is_common = often[np.minimum(np.searchsorted(often, low), len(often) - 1)] == low
                     rare = low[~is_common]
                     if len(rare) < need and len(low) == n:
+                        ends_common = True
                         rare = np.concatenate([rare, low[is_common]])
-                if len(rare) < need:
-                    out[0].append(np.array([0]))
-                    out[3].append(np.array([-1]))
-                    need = 1
-                else:
-                    out[0].append(rare[:need])
-                    out[3].append(np.arange(need))
-                out[1].append(np.full(need, doc))
-                out[2].append(np.full(need, n))
-            if out[0]:
-                arrays = [pa.array(np.concatenate(c), t) for c, t in zip(out, (pa.int64(), pa.int64(), pa.int32(), pa.int32()))]
-                yield pa.RecordBatch.from_arrays(arrays, names=["shingle", "doc", "n", "place"])
-
-    return reps.select("doc", "n", "low").mapInArrow(entries, "shingle long, doc long, n int, place int")
+                enough = len(rare) >= need
+                own.append(rare[:need] if enough else None)
+                commons.append(ends_common)
+                lasts.append(int(rare[need - 1]) if enough else None)
+            arrays = [pa.array(own, pa.list_(pa.int64())), pa.array(commons, pa.bool_()), pa.array(lasts, pa.int64())]
+            kept = [batch.column("doc"), batch.column("n").cast(pa.int32()), *arrays]
+            yield pa.RecordBatch.from_arrays(kept, names=["doc", "n", "own", "last_common", "last"])
+
+    schema = "doc long, n int, own array<long>, last_common boolean, last long"
+    return reps.select("doc", "n", "low").mapInArrow(choose, schema)
 
 
 def _fits(a: str, b: str, percent: int) -> Column:
@@ -111,13 +109,41 @@ def _fits(a: str, b: str, percent: int) -> Column:
     return (F.least(an, bn) * 100 >= F.greatest(an, bn) * percent) & _linked(rest, an, bn, percent)
 
 
-def _compare(pairs: DataFrame, full: DataFrame, percent: int) -> DataFrame:
-    """``a, b, shared, linked`` of candidate pairs, from the whole sets."""
-    left = full.select(F.col("doc").alias("a"), F.col("hashes").alias("ha"))
-    right = full.select(F.col("doc").alias("b"), F.col("hashes").alias("hb"))
-    met = pairs.join(right, "b").join(left, "a")
-    counted = met.select("a", "b", F.size(F.array_intersect("ha", "hb")).alias("shared"), F.size("ha").alias("an"), F.size("hb").alias("bn"))
-    return materialize(counted.withColumn("linked", _linked(F.col("shared"), F.col("an"), F.col("bn"), percent)))
+class _Sets:
+    """What is known of the sets: prefixes kept, whole sets made again from the texts when a pair needs them."""
+
+    def __init__(self, prefixes: DataFrame, texts: DataFrame, words: int, percent: int):
+        self.prefixes, self.texts, self.words, self.percent = prefixes, texts, words, percent
+
+    def compare(self, pairs: DataFrame) -> DataFrame:
+        """``a, b, shared, linked`` of those candidate pairs that their prefixes allow to be linked.
+
+        Beyond what the prefixes share, no more can be shared than what the set whose
+        prefix ends first has left.
+        """
+        a, b = F.col("pa"), F.col("pb")
+        ended = lambda p: F.struct(p["last_common"], p["last"])
+        rest = F.when(ended(a) <= ended(b), a["n"] - F.size(a["own"])).otherwise(b["n"] - F.size(b["own"]))
+        most = F.size(F.array_intersect(a["own"], b["own"])) + rest
+        known = self.prefixes.select("doc", F.struct("n", "own", "last_common", "last").alias("p"))
+        hopeful = (
+            pairs.join(known.select(F.col("doc").alias("b"), F.col("p").alias("pb")), "b")
+            .join(known.select(F.col("doc").alias("a"), F.col("p").alias("pa")), "a")
+            .where(_linked(most, a["n"], b["n"], self.percent))
+            .select("a", "b")
+        )
+        hopeful = materialize(hopeful)
+        needed = hopeful.select(F.explode(F.array("a", "b")).alias("doc")).distinct()
+        path = scratch_path(pairs.sparkSession)
+        sets = self.texts.join(needed, "doc", "left_semi").select("doc", shingles(F.col("text"), self.words).alias("hashes"))
+        full = materialize(sets, path)
+        left = full.select(F.col("doc").alias("a"), F.col("hashes").alias("ha"))
+        right = full.select(F.col("doc").alias("b"), F.col("hashes").alias("hb"))
+        met = hopeful.join(right, "b").join(left, "a")
+        sizes = met.select("a", "b", F.size(F.array_intersect("ha", "hb")).alias("shared"), F.size("ha").alias("an"), F.size("hb").alias("bn"))
+        counted = materialize(sizes.withColumn("linked", _linked(F.col("shared"), F.col("an"), F.col("bn"), self.percent)))
+        discard(pairs.sparkSession, path)
+        return counted
 
 
 def _links(compared: list[DataFrame]) -> DataFrame:
@@ -143,17 +169,17 @@ def link_representatives(reps: DataFrame, texts: DataFrame, words: int, percent:
     often = lowest.groupBy("shingle").agg(F.count(F.lit(1)).alias("c")).where(F.col("c") > max(COMMON_ROWS, rows // COMMON_SHARE))
     # Bounded by COMMON_SHARE times the mean prefix, whatever the number of rows.
     common = [r.shingle for r in often.select("shingle").collect()]
-    first = materialize(_index(reps, common, percent))
-    scarce = first.where("place < 0").select("doc")
-    again = texts.join(materialize(scarce), "doc", "left_semi").withColumn("low", shingles(F.col("text"), words))
-    again = again.select("doc", F.size("low").alias("n"), "low")
-    entries = first.where("place >= 0").unionByName(_index(again, common, percent))
+    first = materialize(_prefixes(reps, common, percent))
+    scarce = materialize(first.where("own is null").select("doc"))
+    prefixes = first.where("own is not null")
+    if not scarce.isEmpty():
+        again = texts.join(scarce, "doc", "left_semi").withColumn("low", shingles(F.col("text"), words))
+        again = again.select("doc", F.size("low").alias("n"), "low")
+        prefixes = materialize(prefixes.unionByName(_prefixes(again, common, percent)))
+    entries = prefixes.select("doc", "n", F.posexplode("own").alias("place", "shingle"))
     several = entries.groupBy("shingle").agg(F.count(F.lit(1)).alias("c")).where("c > 1").select("shingle")
     entries = materialize(entries.join(several, "shingle", "left_semi"))
-    involved = materialize(entries.select("doc").distinct())
-    full = texts.join(involved, "doc", "left_semi").select("doc", shingles(F.col("text"), words).alias("hashes"))
-    full = materialize(full)
-
+    sets = _Sets(prefixes, texts, words, percent)
     compared: list[DataFrame] = []
     left = entries.withColumn("grp", F.col("doc"))
     for number in range(rounds):
@@ -164,14 +190,14 @@ def link_representatives(reps: DataFrame, texts: DataFrame, words: int, percent:
         pairs = met.where(_fits("l", "r", percent)).select(F.least("l", "doc").alias("a"), F.greatest("l", "doc").alias("b")).distinct()
         for earlier in compared:
             pairs = pairs.join(earlier.select("a", "b"), ["a", "b"], "left_anti")
-        compared.append(_compare(materialize(pairs), full, percent))
+        compared.append(sets.compare(materialize(pairs)))
         left = _grouped(left, compared)
         if left.isEmpty():
             return _links(compared)
-    return _links([*compared, _rest(left, compared, full, percent)])
+    return _links([*compared, _rest(left, compared, sets, percent)])
 
 
-def _rest(left: DataFrame, compared: list[DataFrame], full: DataFrame, percent: int) -> DataFrame:
+def _rest(left: DataFrame, compared: list[DataFrame], sets: _Sets, percent: int) -> DataFrame:
     """All pairs of open lists across groups; what the leaders' overlaps settle is not compared."""
     known = compared[0]
     for more in compared[1:]:
@@ -182,7 +208,7 @@ def _rest(left: DataFrame, compared: list[DataFrame], full: DataFrame, percent:
     met = one.join(two, "shingle").where("ldoc < rdoc and lgrp <> rgrp").where(_fits("l", "r", percent))
     pairs = met.select(F.col("ldoc").alias("a"), F.col("rdoc").alias("b"), F.col("ln").alias("an"), F.col("rn").alias("bn")).distinct()
     pairs = materialize(pairs.join(known.select("a", "b"), ["a", "b"], "left_anti"))
-    sizes = full.select(F.col("doc").alias("l"), F.size("hashes").alias("ln"))
+    sizes = sets.prefixes.select(F.col("doc").alias("l"), F.col("n").alias("ln"))
     via = (
         pairs.join(sides.select("a", F.col("b").alias("l"), F.col("shared").alias("as_")), "a")
         .join(sides.select(F.col("a").alias("b"), F.col("b").alias("l"), F.col("shared").alias("bs_")), ["b", "l"])
@@ -196,7 +222,7 @@ def _rest(left: DataFrame, compared: list[DataFrame], full: DataFrame, percent:
     an, bn = F.col("an"), F.col("bn")
     sure = F.coalesce(_linked(F.col("least"), an, bn, percent), F.lit(False))
     hopeless = F.coalesce(~_linked(F.col("most"), an, bn, percent), F.lit(False))
-    looked = _compare(bounded.where(~sure & ~hopeless).select("a", "b"), full, percent)
+    looked = sets.compare(bounded.where(~sure & ~hopeless).select("a", "b"))
     settled = bounded.where(sure).select("a", "b", F.col("least").alias("shared"), "an", "bn", F.lit(True).alias("linked"))
     return looked.unionByName(settled)
 
