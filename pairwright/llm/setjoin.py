@@ -33,7 +33,9 @@ from .common import add_columns, whole
 
 WORDS = 5
 PERCENT = 80
-ROUNDS = 3
+# Rounds by leaders; lists of up to so many entries need the first round only.
+ROUNDS = 5
+SHORT_LIST = 64
 # A shingle is common when it is in more prefixes than this, and in more than one of so many.
 COMMON_ROWS = 64
 COMMON_SHARE = 2000
@@ -103,10 +105,14 @@ def _prefixes(reps: DataFrame, common: list[int], percent: int) -> DataFrame:
 
 
 def _fits(a: str, b: str, percent: int) -> Column:
-    """Neither size nor position in the common list rules the pair out."""
+    """Neither size, nor position in the common list, nor how many lists each is in at all rules the pair out.
+
+    ``hits`` of a set's prefix are in lists with others, and ``past`` shingles follow its prefix.
+    """
     an, bn = F.col(f"{a}n"), F.col(f"{b}n")
     rest = F.least(an - F.col(f"{a}place"), bn - F.col(f"{b}place"))
-    return (F.least(an, bn) * 100 >= F.greatest(an, bn) * percent) & _linked(rest, an, bn, percent)
+    most = F.least(f"{a}hits", f"{b}hits") + F.greatest(f"{a}past", f"{b}past")
+    return (F.least(an, bn) * 100 >= F.greatest(an, bn) * percent) & _linked(F.least(rest, most), an, bn, percent)
 
 
 class _Sets:
@@ -116,7 +122,11 @@ class _Sets:
         self.prefixes, self.texts, self.words, self.percent = prefixes, texts, words, percent
 
     def compare(self, pairs: DataFrame) -> DataFrame:
-        """``a, b, shared, linked`` of those candidate pairs that their prefixes allow to be linked.
+        """``a, b, shared, linked`` of those candidate pairs that their prefixes allow to be linked."""
+        return self.measure(self.hopeful(pairs))
+
+    def hopeful(self, pairs: DataFrame) -> DataFrame:
+        """Candidate pairs that their prefixes allow to be linked.
 
         Beyond what the prefixes share, no more can be shared than what the set whose
         prefix ends first has left.
@@ -132,14 +142,17 @@ class _Sets:
             .where(_linked(most, a["n"], b["n"], self.percent))
             .select("a", "b")
         )
-        hopeful = materialize(hopeful)
-        needed = hopeful.select(F.explode(F.array("a", "b")).alias("doc")).distinct()
+        return materialize(hopeful)
+
+    def measure(self, pairs: DataFrame) -> DataFrame:
+        """``a, b, shared, an, bn, linked`` of written pairs, from the whole sets."""
+        needed = pairs.select(F.explode(F.array("a", "b")).alias("doc")).distinct()
         path = scratch_path(pairs.sparkSession)
         sets = self.texts.join(needed, "doc", "left_semi").select("doc", shingles(F.col("text"), self.words).alias("hashes"))
         full = materialize(sets, path)
         left = full.select(F.col("doc").alias("a"), F.col("hashes").alias("ha"))
         right = full.select(F.col("doc").alias("b"), F.col("hashes").alias("hb"))
-        met = hopeful.join(right, "b").join(left, "a")
+        met = pairs.join(right, "b").join(left, "a")
         sizes = met.select("a", "b", F.size(F.array_intersect("ha", "hb")).alias("shared"), F.size("ha").alias("an"), F.size("hb").alias("bn"))
         counted = materialize(sizes.withColumn("linked", _linked(F.col("shared"), F.col("an"), F.col("bn"), self.percent)))
         discard(pairs.sparkSession, path)
@@ -179,52 +192,66 @@ def link_representatives(reps: DataFrame, texts: DataFrame, words: int, percent:
     entries = prefixes.select("doc", "n", F.posexplode("own").alias("place", "shingle"))
     several = entries.groupBy("shingle").agg(F.count(F.lit(1)).alias("c")).where("c > 1").select("shingle")
     entries = materialize(entries.join(several, "shingle", "left_semi"))
+    hits = entries.groupBy("doc").agg(F.count(F.lit(1)).cast("int").alias("hits"))
+    past = F.col("n") - _prefix_size(F.col("n"), percent)
+    entries = materialize(entries.join(hits, "doc").withColumn("past", past))
     sets = _Sets(prefixes, texts, words, percent)
     compared: list[DataFrame] = []
-    left = entries.withColumn("grp", F.col("doc"))
+    left, short = entries.withColumn("grp", F.col("doc")), None
     for number in range(rounds):
         order = F.col("doc") if number == 0 else F.xxhash64("doc", F.lit(number))
-        leader = F.min(F.struct(order.alias("o"), F.col("doc").alias("l"), F.col("n").alias("ln"), F.col("place").alias("lplace"), F.col("grp").alias("lg")))
-        leaders = left.groupBy("shingle").agg(leader.alias("x")).select("shingle", "x.l", "x.ln", "x.lplace", "x.lg")
-        met = left.join(leaders, "shingle").where("doc <> l and grp <> lg").withColumnRenamed("n", "rn").withColumnRenamed("place", "rplace")
-        pairs = met.where(_fits("l", "r", percent)).select(F.least("l", "doc").alias("a"), F.greatest("l", "doc").alias("b")).distinct()
+        chosen = [order.alias("o"), *[F.col(c).alias(f"l{c}") for c in ("doc", "n", "place", "grp", "hits", "past")]]
+        leaders = left.groupBy("shingle").agg(F.min(F.struct(*chosen)).alias("x"))
+        leaders = leaders.select("shingle", *[F.col("x")[f"l{c}"].alias(f"l{c}") for c in ("doc", "n", "place", "grp", "hits", "past")])
+        met = left.withColumnsRenamed({c: f"r{c}" for c in ("doc", "n", "place", "grp", "hits", "past")}).join(leaders, "shingle")
+        met = met.where("ldoc <> rdoc and lgrp <> rgrp").where(_fits("l", "r", percent))
+        pairs = met.select(F.least("ldoc", "rdoc").alias("a"), F.greatest("ldoc", "rdoc").alias("b")).distinct()
         for earlier in compared:
             pairs = pairs.join(earlier.select("a", "b"), ["a", "b"], "left_anti")
         compared.append(sets.compare(materialize(pairs)))
         left = _grouped(left, compared)
+        if number == 0:  # the pairs of short lists are few; long ones go on by leaders
+            long = left.groupBy("shingle").agg(F.count(F.lit(1)).alias("c")).where(F.col("c") > SHORT_LIST).select("shingle")
+            long = materialize(long)
+            short = left.join(long, "shingle", "left_anti")
+            left = materialize(left.join(long, "shingle", "left_semi"))
         if left.isEmpty():
-            return _links(compared)
-    return _links([*compared, _rest(left, compared, sets, percent)])
+            break
+    # Groups may have grown since the short lists were set aside.
+    return _links([*compared, _rest(_grouped(short.unionByName(left), compared), compared, sets, percent)])
 
 
 def _rest(left: DataFrame, compared: list[DataFrame], sets: _Sets, percent: int) -> DataFrame:
-    """All pairs of open lists across groups; what the leaders' overlaps settle is not compared."""
+    """All pairs of open lists across groups that filters allow; what the leaders' overlaps settle is not compared."""
     known = compared[0]
     for more in compared[1:]:
         known = known.unionByName(more)
-    sides = known.select("a", "b", "shared").unionByName(known.select(F.col("b").alias("a"), F.col("a").alias("b"), "shared"))
-    one = left.select("shingle", *[F.col(c).alias(f"l{c}") for c in ("doc", "n", "place", "grp")])
-    two = left.select("shingle", *[F.col(c).alias(f"r{c}") for c in ("doc", "n", "place", "grp")])
+    one, two = (left.select("shingle", *[F.col(c).alias(s + c) for c in ("doc", "n", "place", "grp", "hits", "past")]) for s in "lr")
     met = one.join(two, "shingle").where("ldoc < rdoc and lgrp <> rgrp").where(_fits("l", "r", percent))
-    pairs = met.select(F.col("ldoc").alias("a"), F.col("rdoc").alias("b"), F.col("ln").alias("an"), F.col("rn").alias("bn")).distinct()
-    pairs = materialize(pairs.join(known.select("a", "b"), ["a", "b"], "left_anti"))
-    sizes = sets.prefixes.select(F.col("doc").alias("l"), F.col("n").alias("ln"))
+    pairs = met.select(F.col("ldoc").alias("a"), F.col("rdoc").alias("b")).distinct()
+    pairs = sets.hopeful(materialize(pairs.join(known.select("a", "b"), ["a", "b"], "left_anti")))
+    # Each set's closest leader; pairs that have the same one are bounded by it.
+    sides = known.select("a", "b", "shared").unionByName(known.select(F.col("b").alias("a"), F.col("a").alias("b"), "shared"))
+    closest = sides.groupBy("a").agg(F.max(F.struct("shared", F.col("b").alias("l"))).alias("x")).select("a", "x.l", "x.shared")
+    closest = materialize(closest)
+    sizes = sets.prefixes.select("doc", "n")
     via = (
-        pairs.join(sides.select("a", F.col("b").alias("l"), F.col("shared").alias("as_")), "a")
-        .join(sides.select(F.col("a").alias("b"), F.col("b").alias("l"), F.col("shared").alias("bs_")), ["b", "l"])
-        .join(sizes, "l")
+        pairs.join(closest.select("a", F.col("l").alias("la"), F.col("shared").alias("as_")), "a")
+        .join(closest.select(F.col("a").alias("b"), F.col("l").alias("lb"), F.col("shared").alias("bs_")), "b")
+        .where("la = lb")
+        .join(sizes.select(F.col("doc").alias("a"), F.col("n").alias("an")), "a")
+        .join(sizes.select(F.col("doc").alias("b"), F.col("n").alias("bn")), "b")
+        .join(sizes.select(F.col("doc").alias("la"), F.col("n").alias("ln")), "la")
     )
-    bounds = via.groupBy("a", "b").agg(
-        F.min(F.least(F.col("as_") + F.col("bn") - F.col("bs_"), F.col("bs_") + F.col("an") - F.col("as_"))).alias("most"),
-        F.max(F.col("as_") + F.col("bs_") - F.col("ln")).alias("least"),
-    )
-    bounded = materialize(pairs.join(bounds, ["a", "b"], "left"))
     an, bn = F.col("an"), F.col("bn")
-    sure = F.coalesce(_linked(F.col("least"), an, bn, percent), F.lit(False))
-    hopeless = F.coalesce(~_linked(F.col("most"), an, bn, percent), F.lit(False))
-    looked = sets.compare(bounded.where(~sure & ~hopeless).select("a", "b"))
-    settled = bounded.where(sure).select("a", "b", F.col("least").alias("shared"), "an", "bn", F.lit(True).alias("linked"))
-    return looked.unionByName(settled)
+    most = F.least(F.col("as_") + bn - F.col("bs_"), F.col("bs_") + an - F.col("as_"))
+    least = F.col("as_") + F.col("bs_") - F.col("ln")
+    settled = materialize(
+        via.select("a", "b", least.alias("shared"), "an", "bn", _linked(least, an, bn, percent).alias("linked"), _linked(most, an, bn, percent).alias("open"))
+        .where("linked or not open")
+        .drop("open")
+    )
+    return sets.measure(materialize(pairs.join(settled.select("a", "b"), ["a", "b"], "left_anti"))).unionByName(settled)
 
 
 def link_documents(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> DataFrame:
