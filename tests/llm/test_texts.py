@@ -1,0 +1,189 @@
+"""Personal data, fingerprints, tokens, packing and id files against brute force."""
+
+import hashlib
+import json
+import random
+import re
+import zlib
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+public_tokenizers = pytest.importorskip("public_tokenizers")
+from tokenizers import Tokenizer  # noqa: E402
+
+from pairwright.llm import bpe, fingerprints, idfiles, packing, pii, tokens  # noqa: E402
+
+WORD = public_tokenizers.path("word_bpe_49k.json")
+BYTE = public_tokenizers.path("byte_bpe_50k.json")
+BASE = [
+    ("email", r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+"),
+    ("ip", r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)"),
+    ("card", r"[0-9]([\x20-]?[0-9])+"),
+    ("phone", r"\+[0-9][\x20().0-9-]+[0-9]"),
+]
+TEXTS = [
+    "", None, " ", "one", "A@b.c a@b.c@d.e a@b.com_x@y.z x@y", "1.2.3.4.5.6.7.8 000.256.1.1 255.255.255.255",
+    "card 4111 1111 1111 1111, 4111-1111-1111-1111", "+1 (212) 555-0100 +44.20.7946.0958", "\U0001f600 a@b.de 1.1.1.1",
+    "GB82 WEST 1234 5698 7654 32", "1" * 30000, "a" * 30000, "1 " * 9000, "a@b.c " * 1000, "x y z " * 4000,
+    "<|endoftext|> it's \x1c odd\x85\xa0blanks", "é ́a ΑΣ\n\n\t x\r\n", "$$$ %%%% aaa aaaa",
+]
+TEXTS += TEXTS[4:8]
+
+
+@pytest.fixture(scope="module")
+def docs(spark):
+    rows = [(i if i != 7 else None, t, i, "clash") for i, t in enumerate(TEXTS)]
+    return spark.createDataFrame(rows, "doc_id long, text string, length int, score string").repartition(3)
+
+
+def luhn(digits):
+    return sum(int(c) if i % 2 == 0 else sum(divmod(2 * int(c), 10)) for i, c in enumerate(digits[::-1])) % 10 == 0
+
+
+def valid(kind, match):
+    digits = re.sub("[^0-9]", "", match)
+    return {
+        "email": True,
+        "ip": kind == "ip" and all(int(p) <= 255 for p in match.split(".")),
+        "card": 14 <= len(digits) <= 19 and luhn(digits),
+        "phone": 10 <= len(digits) <= 15,
+    }[kind]
+
+
+def test_personal_data(docs):
+    got = {(r.doc_id, r.base_sha256) for r in pii.digest(docs).collect()}
+    expected = set()
+    for i, text in enumerate(TEXTS):
+        spans = sorted(
+            (m.start(), rank, m.end())
+            for rank, (kind, pattern) in enumerate(BASE)
+            for m in re.finditer(pattern, text or "")
+            if valid(kind, m.group())
+        )
+        joined = ",".join(f"{BASE[rank][0]}:{start}:{end}" for start, rank, end in spans)
+        expected.add((i if i != 7 else None, hashlib.sha256(joined.encode()).hexdigest()))
+    assert got == expected
+    plan = pii.digest(docs)._jdf.queryExecution().executedPlan().toString()
+    assert "Python" not in plan and "Arrow" not in plan
+    redacted = {r.doc_id: r.text for r in pii.redact(docs).collect()}
+    assert redacted[9] == "<IBAN>" and redacted[1] is None and redacted[8] == "\U0001f600 <EMAIL> <IP>"
+    assert pii.digest(docs.limit(0)).count() == 0
+
+
+def test_context_raises_scores(spark):
+    rows = spark.createDataFrame([(1, "card 4111111111111111"), (2, "zzz 4111111111111111")], "doc_id long, text string")
+    scores = {r.doc_id: r.spans[0].score for r in pii.find_spans(rows).collect()}
+    assert scores[1] > scores[2]
+
+
+def test_fingerprints(docs):
+    got = fingerprints.compare_edited(docs).collect()
+    order = sorted(enumerate(TEXTS), key=lambda x: -x[0] if x[0] != 7 else 99)
+    edited = []
+    for (i, text), (_, after) in zip(order, order[1:] + order[:1]):
+        text, after = text or "", after or ""
+        third = len(text) // 3
+        edited.append((i if i != 7 else None, hashlib.sha256((text[: len(text) - third] + after[:third]).encode()).hexdigest()))
+    assert sorted(map(str, edited)) == sorted(str((r.doc_id, r.edited_sha256)) for r in got)
+    prints = {r.doc_id: r.fingerprint for r in got}
+    assert prints[4] == prints[18] and prints[0] == prints[1] and prints[4] != prints[5]
+    assert all(0 <= r.near_edited <= 1 and 0 <= r.near_next <= 1 for r in got)
+    assert fingerprints.compare_edited(docs.limit(0)).count() == 0
+
+
+def test_containment_of_unequal_texts(spark):
+    words = [str(i) for i in range(6000)]
+    row = spark.createDataFrame([(" ".join(words[:3000]), " ".join(words))], "a string, b string")
+    a, b = fingerprints.sketch(F.col("a")), fingerprints.sketch(F.col("b"))
+    near, size = row.select(fingerprints.containment(a, b), F.size(fingerprints.merge(a, b)["hashes"])).first()
+    assert near == 1.0 and 600 < size < 900
+
+
+def texts_to_encode():
+    rnd = random.Random(1)
+    signs = " \n\té́aAbB.,!?1239'-_<|>😀的ß\x1c\x85"
+    return [t or "" for t in TEXTS] + ["".join(rnd.choice(signs) for _ in range(60)) for _ in range(300)]
+
+
+def test_automaton_equals_library():
+    library, machine = Tokenizer.from_file(BYTE), bpe.Automaton(tokens.read_file(BYTE))
+    for text in texts_to_encode():
+        ids = library.encode(text, add_special_tokens=False).ids
+        assert np.frombuffer(machine.encode(text), "<u4").tolist() == ids
+        assert machine.decode(machine.encode(text)) == library.decode(ids, skip_special_tokens=False)
+
+
+def test_word_encoder_equals_library():
+    library, own = Tokenizer.from_file(WORD), tokens.WordEncoder(tokens.read_file(WORD))
+    texts = texts_to_encode()
+    for text, ids in zip(texts, own.encode(texts)):
+        assert np.frombuffer(ids, "<u4").tolist() == library.encode(text, add_special_tokens=False).ids
+
+
+def test_round_trip_query(docs):
+    got = {r.doc_id: r for r in bpe.round_trip(docs, tokens.read_file(BYTE), keep=True).collect()}
+    assert got[1].n_tokens == 0 and got[12].decoded == TEXTS[12] and len(got) == len(TEXTS)
+
+
+def test_packing(docs):
+    rows = packing.pack_documents(docs, tokens.read_file(WORD), capacity=256).collect()
+    library = Tokenizer.from_file(WORD)
+    sizes = sorted(len(library.encode(t or "", add_special_tokens=False).ids) + 1 for t in TEXTS)
+    by_doc, by_sequence = {}, {}
+    for r in rows:
+        by_sequence.setdefault(r.sequence_id, []).append((r.offset, r.length))
+        by_doc.setdefault(r.doc_id, 0)
+        by_doc[r.doc_id] += r.length
+    assert sorted(by_doc.values()) == sizes
+    for pieces in by_sequence.values():
+        place = 0
+        for offset, length in sorted(pieces):
+            assert offset == place
+            place += length
+        assert place <= 256
+    assert len(by_sequence) <= sum(sizes) / 256 + 2
+
+
+@pytest.mark.parametrize("seed", range(4))
+def test_fullest_combination(seed):
+    rnd = random.Random(seed)
+    counts = {rnd.randint(1, 40): rnd.randint(1, 3) for _ in range(6)}
+    sums = {0}
+    for length, n in counts.items():
+        sums = {s + length * k for s in sums for k in range(n + 1)}
+    chosen = packing.fullest(counts, sorted(counts, reverse=True), 70)
+    assert sum(x * n for x, n in chosen.items()) == max(s for s in sums if s <= 70)
+    assert all(n <= counts[x] for x, n in chosen.items())
+
+
+def test_blocks_round_trip_and_damage():
+    rnd = np.random.default_rng(5)
+    ids = [rnd.integers(0, 65536, 5000), np.zeros(9000, int), np.array([65535]), rnd.geometric(0.02, 20000) % 65536]
+    docs = [(i, x.astype(np.uint16)) for i, x in enumerate(ids)]
+    (segment,) = idfiles.pack_segments(docs)
+    decoded = np.concatenate(idfiles.decode_segment_blocks(*segment[2:]))
+    assert (decoded == np.concatenate([x for _, x in docs])).all()
+    assert sum(map(len, segment[4])) < 2 * len(decoded)
+    spoiled = [bytes([*b[:-9], b[-9] ^ 64, *b[-8:]]) for b in segment[4]]
+    with pytest.raises(ValueError):
+        idfiles.decode_segment_blocks(segment[2], segment[3], spoiled)
+
+
+def test_id_files(docs):
+    got = idfiles.write_and_read(docs, tokens.read_file(WORD)).collect()
+    library, start = Tokenizer.from_file(WORD), 0
+    crc = {}
+    for i, text in enumerate(TEXTS):
+        ids = np.array(library.encode(text or "", add_special_tokens=False).ids + [2], dtype="<u4")
+        crc[i if i != 7 else None] = (len(ids), zlib.crc32(ids.tobytes()))
+    assert {r.doc_id: (r.n_tokens, r.ids_crc32) for r in got} == crc
+    for r in sorted(got, key=lambda r: -1 if r.doc_id is None else r.doc_id):
+        assert r.start == start
+        start += r.n_tokens
+    assert idfiles.write_and_read(docs.limit(0), tokens.read_file(WORD)).count() == 0
+
+
+def test_vocabulary_is_a_parameter():
+    assert json.loads(tokens.read_file(WORD))["model"]["type"] == "BPE"
