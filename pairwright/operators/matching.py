@@ -60,9 +60,7 @@ class Threshold:
 
 
 UNSTRUCTURED = Threshold(fixed.UNSTRUCTURED_THRESHOLD)
-STRUCTURED = Threshold(
-    fixed.STRUCTURED_THRESHOLD, fixed.STRUCTURED_LARGE_BLOCK_THRESHOLD, fixed.STRUCTURED_LARGE_BLOCK_ROWS
-)
+STRUCTURED = Threshold(fixed.STRUCTURED_THRESHOLD)
 
 
 def fingerprints(products: DataFrame, keys: Sequence[str], text: str) -> DataFrame:
@@ -384,21 +382,26 @@ def baseline_matches(
     products: DataFrame,
     text: str,
     min_score: float = fixed.BASELINE_THRESHOLD,
-    max_rows: int = fixed.BASELINE_KEY_ROWS,
+    max_rows: int | None = None,
+    tile_rows: int = TILE_ROWS,
 ) -> DataFrame:
     """Pairs sharing a baseline key, ranked by token overlap: ``(lid, rid, similarity)``.
 
-    Keys with ``max_rows`` records or more are too common to mean anything and
-    are skipped; this is part of the method, and it bounds every join group.
+    Complete by default: common keys are spread over tiles, none is left out. Only a
+    caller who asks for it (``max_rows``) skips keys with that many records or more.
     """
-    keyed = baseline_blocks(products, text).select("block_key", "id", name_tokens(F.col(text)).alias("tokens"))
+    keyed = baseline_blocks(products, text).select(
+        F.col("block_key").alias("key"), "id", name_tokens(F.col(text)).alias("tokens")
+    )
     blocks = materialize(keyed)
-    rare = blocks.groupBy("block_key").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") < max_rows)
-    kept = blocks.join(rare, "block_key", "left_semi")
-    left = kept.select("block_key", F.col("id").alias("lid"), F.col("tokens").alias("l_tokens"))
-    right = kept.select("block_key", F.col("id").alias("rid"), F.col("tokens").alias("r_tokens"))
+    if max_rows is not None:
+        rare = blocks.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") < max_rows).select("key")
+        blocks = materialize(blocks.join(rare, "key", "left_semi"))
+    left, right = spread(blocks, blocks, "key", "id", tile_rows)
+    left = left.withColumnsRenamed({"id": "lid", "tokens": "l_tokens"})
+    right = right.withColumnsRenamed({"id": "rid", "tokens": "r_tokens"})
     return (
-        left.join(right, "block_key")
+        left.join(right, ["key", "left_tile", "right_tile"])
         .where("lid < rid")
         .select("lid", "rid", token_overlap(F.col("l_tokens"), F.col("r_tokens")).alias("similarity"))
         .where(F.col("similarity") >= min_score)

@@ -55,7 +55,7 @@ ORACLES: dict[str, str] = {}
 
 READ_LIMIT = 500
 DOCUMENT_KEYS = ("lang",)
-ADAPTIVE = Threshold(0.85, 0.9, 60)
+STRICT = Threshold(0.85)
 MEASURES = ("price_diff", "price_rel_diff", "brand_match", "name_token_overlap", "description_token_overlap")
 
 
@@ -277,13 +277,13 @@ ADAPTIVE_SQL = o.matches(
     STORAGE_KEYS_SQL,
     STRUCTURED_KEYS,
     "name",
-    f"CASE WHEN block_rows > {ADAPTIVE.large_rows} THEN {ADAPTIVE.large} ELSE {ADAPTIVE.base} END",
+    str(STRICT.base),
 )
 
 
 @query(f"WITH {ADAPTIVE_SQL} SELECT lid, rid, round(score, 6) AS score FROM edges")
 def adaptive_threshold_pairs(spark, sf):
-    pairs = similar_pairs(blocking_structured(spark, sf), STRUCTURED_KEYS, "name", ADAPTIVE)
+    pairs = similar_pairs(blocking_structured(spark, sf), STRUCTURED_KEYS, "name", STRICT)
     return pairs.select("lid", "rid", *rounded("score"))
 
 
@@ -292,8 +292,7 @@ MATCH_STRUCTURED_SQL = o.matches(
     STORAGE_KEYS_SQL,
     STRUCTURED_KEYS,
     "name",
-    f"CASE WHEN block_rows > {fixed.STRUCTURED_LARGE_BLOCK_ROWS} THEN {fixed.STRUCTURED_LARGE_BLOCK_THRESHOLD} "
-    f"ELSE {fixed.STRUCTURED_THRESHOLD} END",
+    str(fixed.STRUCTURED_THRESHOLD),
 )
 
 
@@ -329,7 +328,7 @@ k AS (SELECT *, count(*) OVER (PARTITION BY block_key) AS n FROM b WHERE block_k
 s AS (SELECT x.id AS lid, y.id AS rid,
              CAST(len(list_intersect(x.tokens, y.tokens)) AS DOUBLE) / greatest(len(x.tokens), len(y.tokens))
              AS similarity
-      FROM k x JOIN k y ON x.block_key = y.block_key AND x.id < y.id WHERE x.n < {fixed.BASELINE_KEY_ROWS})
+      FROM k x JOIN k y ON x.block_key = y.block_key AND x.id < y.id)
 SELECT lid, rid, similarity FROM s WHERE similarity >= {fixed.BASELINE_THRESHOLD}"""
 
 
@@ -576,9 +575,3 @@ def truth_profile(spark, sf):
         storage_truth(spark, sf), v.storage(spark, sf), ("name", "description"), structured=True
     )
     return profile.profile_means(measured).select("pairs", *rounded(*MEASURES))
-
-
-@query()
-def sequence_similarity(spark, sf):
-    measured = profile.pair_profile(storage_truth(spark, sf), v.storage(spark, sf), ("name",), structured=True)
-    return profile.with_sequence_similarity(measured, ("name",)).select("lid", "rid", "name_similarity")

@@ -65,20 +65,6 @@ def read_products(
     return products if read_limit is None else first_by_id(products, read_limit)
 
 
-def spread_small(table: DataFrame, limit_bytes: int = 1 << 30) -> DataFrame:
-    """Deal a small table in few files out to all cores; leave any other as it is.
-
-    Text work is heavy per byte, and a file of one row group is one task. Only
-    tables the planner puts below ``limit_bytes`` are ever moved for this.
-    """
-    spark = table.sparkSession
-    cores = spark.sparkContext.defaultParallelism
-    size = int(str(table._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-    if size > limit_bytes or len(table.inputFiles()) >= cores:
-        return table
-    return table.repartition(cores)
-
-
 def first_by_id(products: DataFrame, read_limit: int) -> DataFrame:
     """The ``read_limit`` rows with the smallest ids."""
     return products.orderBy("id").limit(read_limit)

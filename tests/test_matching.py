@@ -180,8 +180,6 @@ def test_members_and_pairs(spark):
     pairs = {(r.lid, r.rid) for r in expand_pairs(clusters).collect()}
     assert pairs == {(1, 2), (1, 3), (2, 3), (7, 8)}
     assert {(r.lid, r.rid) for r in expand_pairs(clusters, tile_rows=1).collect()} == pairs
-    with pytest.raises(ValueError):
-        expand_pairs(clusters, max_pairs=3)
 
 
 def test_no_edges(spark):
