@@ -2,11 +2,7 @@
 
 from __future__ import annotations
 
-from difflib import SequenceMatcher
-
-import pandas as pd
 from pyspark.sql import Column, functions as F
-from pyspark.sql.types import DoubleType
 
 from .text import whitespace_tokens, words
 
@@ -65,19 +61,3 @@ def relative_price_gap(left: Column, right: Column) -> Column:
 def same_text(left: Column, right: Column) -> Column:
     """Case-insensitive equality that treats a missing value as empty."""
     return F.coalesce(F.lower(left), F.lit("")) == F.coalesce(F.lower(right), F.lit(""))
-
-
-def sequence_similarity(left: Column, right: Column) -> Column:
-    """Ratcliff-Obershelp ratio; a missing value reads as ``nan``.
-
-    No built-in expression computes longest matching subsequences recursively,
-    so the standard library does it on Arrow batches. The local function travels
-    to the workers by value; they need no copy of this package.
-    """
-
-    @F.pandas_udf(DoubleType())
-    def ratio(a: pd.Series, b: pd.Series) -> pd.Series:
-        texts = zip(a.fillna("nan"), b.fillna("nan"))
-        return pd.Series([SequenceMatcher(None, x, y).ratio() for x, y in texts], dtype="float64")
-
-    return ratio(left, right)

@@ -11,11 +11,10 @@ from ..functions.similarity import (
     price_gap,
     relative_price_gap,
     same_text,
-    sequence_similarity,
     token_jaccard,
 )
 from ..functions.text import words
-from .cluster import connected_components, expand_pairs
+from .cluster import connected_components
 from .evaluate import enrich_pairs
 
 QUANTILE_BINS = 1024
@@ -153,19 +152,12 @@ def pair_profile(pairs: DataFrame, products: DataFrame, texts: Sequence[str], st
     return enriched.withColumns(measures)
 
 
-def with_sequence_similarity(profiled: DataFrame, texts: Sequence[str]) -> DataFrame:
-    """Add the sequence similarity of each text column of a pair profile."""
-    return profiled.withColumns(
-        {f"{c}_similarity": sequence_similarity(F.col("l" + c), F.col("r" + c)) for c in texts}
-    )
-
-
 def profile_means(profiled: DataFrame) -> DataFrame:
     """Number of pairs and the mean of every measure, missing values left out."""
     names = [
         c
         for c in profiled.columns
-        if c in ("price_diff", "price_rel_diff", "brand_match") or c.endswith(("_token_overlap", "_similarity"))
+        if c in ("price_diff", "price_rel_diff", "brand_match") or c.endswith("_token_overlap")
     ]
     return profiled.agg(
         F.count(F.lit(1)).alias("pairs"), *[F.avg(F.col(c).cast("double")).alias(c) for c in names]
@@ -175,6 +167,10 @@ def profile_means(profiled: DataFrame) -> DataFrame:
 def truth_profile(
     truth: DataFrame, products: DataFrame, texts: Sequence[str], structured: bool
 ) -> DataFrame:
-    """Detailed profile of the closed truth: close, list pairs, attach products, measure."""
-    closed = expand_pairs(connected_components(truth))
-    return with_sequence_similarity(pair_profile(closed, products, texts, structured), texts)
+    """Profile of the closed truth: each record of a cluster measured against the cluster's smallest id.
+
+    Linear in records; the pairs inside a cluster are not listed.
+    """
+    members = connected_components(truth).where("id <> cluster_id")
+    pairs = members.select(F.col("cluster_id").alias("lid"), F.col("id").alias("rid"))
+    return pair_profile(pairs, products, texts, structured)
