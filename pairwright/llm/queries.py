@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 import corpus_pipeline
 
-from . import ann, bpe, fingerprints, idfiles, packing, pii, quality, setjoin, tokens, toxicity, warc
+from . import ann, bpe, codes, dialogue, fingerprints, idfiles, packing, pii, quality, setjoin, simhash, tokens, toxicity, warc
 from .common import read
 
 WORD_TOKENIZER = "word_bpe_49k.json"
@@ -61,6 +61,18 @@ def op10_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.round_trip(read(spark, sf_dir, "documents", "doc_id", "text"), vocabulary(BYTE_TOKENIZER))
 
 
+def op11_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.near_duplicates(read(spark, sf_dir, "documents", "doc_id", "text"))
+
+
+def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return dialogue.repair_damaged(read(spark, sf_dir, "conversations", "conv_id", "turn", "role", "text"))
+
+
+def op13_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return codes.compress(read(spark, sf_dir, "embeddings", "vec_id", "embedding", "label"))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -74,10 +86,52 @@ QUERIES = {
         op8_ngram_jaccard_join,
         op9_token_files,
         op10_bpe_round_trip,
+        op11_simhash,
+        op12_conversation_repair,
+        op13_vector_codes,
     )
 } | {"pipeline": corpus_pipeline.run}
 
+
+def _codes_sql(parts: int, entries: int, rounds: int, scale: int) -> str:
+    """Product codebooks by plain comparison of every part with every entry."""
+    # Sums of products of whole numbers are exact in doubles of this size.
+    steps = []
+    for i in range(rounds + 1):
+        steps.append(f"""
+a{i} AS MATERIALIZED (
+  SELECT p, vec_id, any_value(w) AS w, min({{'d': ww - 2 * list_dot_product(w, c) + cc, 'e': e}}) AS best
+  FROM parts JOIN (SELECT *, list_dot_product(c, c) AS cc FROM b{i}) USING (p) GROUP BY p, vec_id)""")
+        if i < rounds:
+            steps.append(f"""
+m{i} AS (
+  SELECT p, e, list(x ORDER BY pos) AS moved FROM (
+    SELECT p, e, pos, floor(sum(x) / count(*)) AS x
+    FROM (SELECT p, best.e AS e, unnest(w) AS x, generate_subscripts(w, 1) AS pos FROM a{i}) GROUP BY p, e, pos)
+  GROUP BY p, e),
+b{i + 1} AS MATERIALIZED (SELECT p, e, coalesce(moved, c) AS c FROM b{i} LEFT JOIN m{i} USING (p, e))""")
+    return f"""
+WITH kept AS MATERIALIZED (
+  SELECT vec_id, row_number() OVER (ORDER BY vec_id) - 1 AS nth,
+         list_transform(embedding, lambda x: floor({scale} * CAST(x AS DOUBLE))) AS v
+  FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+parts AS MATERIALIZED (
+  SELECT vec_id, nth, p, w, list_dot_product(w, w) AS ww
+  FROM (SELECT vec_id, nth, p, v[p * len(v) // {parts} + 1 : (p + 1) * len(v) // {parts}] AS w FROM kept, range({parts}) AS r(p))),
+b0 AS MATERIALIZED (SELECT p, nth AS e, w AS c FROM parts WHERE nth < {entries}),{",".join(steps)},
+digest AS (
+  SELECT sha256(string_agg(CAST(CAST(x AS BIGINT) AS VARCHAR), ',' ORDER BY p, e, pos)) AS codebooks_sha256
+  FROM (SELECT p, e, unnest(c) AS x, generate_subscripts(c, 1) AS pos FROM b{rounds})),
+coded AS (
+  SELECT vec_id, string_agg(printf('%02x', best.e), '' ORDER BY p) AS code, CAST(sum(best.d) AS BIGINT) AS error
+  FROM a{rounds} GROUP BY vec_id)
+SELECT vec_id, code, error, CAST(sum(error) OVER (PARTITION BY label) AS BIGINT) AS label_error, codebooks_sha256
+FROM coded JOIN embeddings USING (vec_id), digest"""
+
+
 ORACLES = {
+    "op13_vector_codes": _codes_sql(codes.PARTS, codes.ENTRIES, codes.ROUNDS, codes.SCALE),
     "op2_web_archives": """
 SELECT page_id, payload_bytes, payload_digest,
        CASE WHEN payload_bytes >= 100 AND first_id < page_id THEN 'revisit' ELSE 'response' END AS record_type,
