@@ -11,7 +11,7 @@ from collections.abc import Callable, Iterable, Mapping
 
 from pyspark.sql import Column, functions as F
 
-_PLAIN_WORD = re.compile(r"[A-Za-z0-9-]+")
+PLAIN_WORD = re.compile(r"[A-Za-z0-9-]+")
 _TERM = re.compile(r"\w+(?: \w+)*")
 MAX_LITERAL_TERMS = 10_000
 
@@ -78,7 +78,7 @@ def remove_words(c: Column, vocabulary: Iterable[str], unicode_edges: bool = Fal
     one linear split and a hash lookup replace a scan with a long alternation.
     """
     terms = sorted({w.lower() for w in vocabulary})
-    odd = [w for w in terms if not _PLAIN_WORD.fullmatch(w)]
+    odd = [w for w in terms if not PLAIN_WORD.fullmatch(w)]
     if odd:
         raise ValueError(f"not plain words, use a pattern rule instead: {odd[:5]}")
     if not terms:
@@ -139,17 +139,3 @@ def canonical_key(c: Column, mapping: Iterable[tuple[str, str]], keep: str | Non
     """Fold spelling variants of a key together, then re-extract the ``keep`` matches."""
     mapped = map_patterns(c, mapping)
     return mapped if keep is None else extract_key(mapped, keep)
-
-
-def char_histogram(c: Column) -> Column:
-    """Character counts of the lowercased text as ``array<struct<c,n>>`` sorted by character.
-
-    Sorting the characters makes equal ones adjacent, so one regex pass reads off
-    the runs. Two texts have the same histogram exactly when their character
-    multisets agree.
-    """
-    ordered = F.array_join(F.sort_array(F.split(F.lower(c), "")), "")
-    runs = F.regexp_extract_all(ordered, F.lit(r"(?s)(.)\1*"), F.lit(0))
-    return F.transform(
-        runs, lambda run: F.struct(F.substring(run, 1, 1).alias("c"), F.length(run).alias("n"))
-    )

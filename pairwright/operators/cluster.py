@@ -2,12 +2,17 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..session import discard, materialize, scratch_path
 from .tiles import BROADCAST_KEYS, TILE_ROWS, spread
 
 HOT_COPIES = 16
+# So many edges are left to one task: a few megabytes, less than the jobs of another round cost.
+LAST_EDGES = 20_000
 
 
 def lookup(rows: DataFrame, key: str, table: DataFrame, value: str, size: int | None = None) -> DataFrame:
@@ -39,6 +44,32 @@ def lookup(rows: DataFrame, key: str, table: DataFrame, value: str, size: int |
     return dealt.join(copies, [key, "_copy"], "left").select(*others, replaced)
 
 
+def _close_few(edges: DataFrame) -> DataFrame:
+    """``(id, into)`` of a counted, small number of edges: each vertex and the smallest it reaches."""
+
+    def close(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        parent: dict = {}
+
+        def root(x):
+            while parent[x] != x:
+                parent[x] = parent[parent[x]]
+                x = parent[x]
+            return x
+
+        kind = None
+        for batch in batches:
+            kind = batch.schema.field(0).type
+            for a, b in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                a, b = root(parent.setdefault(a, a)), root(parent.setdefault(b, b))
+                parent[max(a, b)] = min(a, b)
+        if parent:
+            ids = list(parent)
+            yield pa.RecordBatch.from_arrays([pa.array(ids, kind), pa.array([root(x) for x in ids], kind)], names=["id", "into"])
+
+    kind = edges.schema["lid"].dataType.simpleString()
+    return edges.select("lid", "rid").coalesce(1).mapInArrow(close, f"id {kind}, into {kind}")
+
+
 def connected_components(pairs: DataFrame) -> DataFrame:
     """Label every id on an edge with the smallest id it is connected to: ``(id, cluster_id)``.
 
@@ -46,8 +77,8 @@ def connected_components(pairs: DataFrame) -> DataFrame:
     itself and its neighbours, the edges are renamed to the merged vertices, and
     closed or repeated ones disappear. Lowest goes by id and by a fresh random rank
     in turn: by id a star collapses at once, by rank a constant share of any shape
-    does, so later rounds work on ever smaller tables. Missing ids and self-pairs
-    link nothing.
+    does, so later rounds work on ever smaller tables. The last ``LAST_EDGES`` are
+    closed by one task. Missing ids and self-pairs link nothing.
     """
     spark = pairs.sparkSession
     clean = pairs.where(
@@ -57,6 +88,14 @@ def connected_components(pairs: DataFrame) -> DataFrame:
     edges = materialize(clean.distinct(), path)
     merges: list[tuple[DataFrame, str]] = []
     while left := edges.count():
+        if left <= LAST_EDGES:
+            merge_path = scratch_path(spark)
+            closed = materialize(_close_few(edges), merge_path)
+            if not merges:
+                discard(spark, path)
+                return closed.withColumnRenamed("into", "cluster_id")
+            merges.append((closed, merge_path))
+            break
         salt = F.lit(len(merges))
         both = F.array(F.struct("lid", "rid"), F.struct(F.col("rid").alias("lid"), F.col("lid").alias("rid")))
 

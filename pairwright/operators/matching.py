@@ -14,9 +14,14 @@ The similarity of two texts depends on their character histograms only, and
    they join on a segment's signature.
 4. A few sums over groups of characters bound the distance from below; they are
    compared inside the join condition before any histogram is.
+5. 1 - Jaccard is a metric. In crowded bands every row knows its distances to some
+   pivots (see :mod:`.pivots`); a pair whose distances to one of them differ by more
+   than a match may is ruled out, most by an equal cell in the join key, others by
+   the condition.
 
 Hot join keys are spread over tiles (see :mod:`.tiles`). When only the clusters
-are wanted, hot keys are thinned beforehand by linking records to leaders.
+are wanted, rows within reach of a pivot are tied to it, and only rows of different
+tied groups are compared afterwards.
 """
 
 from __future__ import annotations
@@ -30,17 +35,17 @@ from operator import add
 from pyspark.sql import Column, DataFrame, functions as F
 
 from .. import fixed_values as fixed
+from ..functions.histogram import char_histogram
 from ..functions.similarity import histogram_length, name_tokens, token_overlap
-from ..functions.text import char_histogram
 from ..session import materialize
 from .blocking import baseline_blocks, block_of
-from .cluster import connected_components
+from .cluster import connected_components, lookup
+from .pivots import PIVOTS, cells, main_groups, measure, outside_reach, tie, visited_cells
 from .tiles import TILE_ROWS, hot_groups, spread, unspread
 
-GROUP_SUMS = 12
+GROUP_SUMS = 20
 MAX_SEGMENTS = 8
 CROWD_ROWS = 1024
-LEADER_ROUNDS = 3
 # Characters with a fixed place in the count array, by falling frequency. Neighbours in
 # this order go to different segments and sums. All other characters are in a map.
 COMMON_CHARACTERS = " etaoinsrhldcumfpgwybvkxjqz0123456789-.,"
@@ -91,7 +96,8 @@ def _character_rank(c: Column) -> Column:
 
 
 _SUMS = (*[f"sum{g}" for g in range(GROUP_SUMS)], "sum_rare")
-_PAYLOAD = ("id", "length", *_SUMS, "common", "rare", "signatures", "min_score")
+_HISTOGRAM = ("length", "sum_rare", "common", "rare")
+_PAYLOAD = ("id", "group", "main", "length", *_SUMS, "common", "rare", "signatures", *PIVOTS, "min_score")
 
 
 @dataclass(frozen=True)
@@ -102,22 +108,15 @@ class JoinRows:
     crowded: bool
 
 
-def _join_rows(reps: DataFrame, floor: float, crowd_rows: int) -> JoinRows:
-    """Representatives keyed by block and length band, in crowded bands also by segment signature.
+def _place(reps: DataFrame, floor: float) -> DataFrame:
+    """Representatives with their sums, once at home in their length band and once visiting the next.
 
-    A pair is found in the band of its longer text: every row is at home in its
-    own band and visits the next one as a possibly shorter partner.
+    A pair is found in the band of its longer text: the shorter one is at home there or
+    a visitor.
     """
     ratio = floor - 1e-6
     step = math.log(1 / ratio)
-    rate = 2 * (1 - floor) / (1 + floor) * (1 + 1e-9)
-    longest = F.exp((F.col("band") + 1) * step)
-    segments = (F.floor(F.lit(rate) * longest + 1e-6) + 1).cast("int")
     ranked = F.transform("hist", lambda x: F.struct(_character_rank(x["c"]).alias("rank"), x["n"].alias("n")))
-    signatures = F.transform(
-        F.sequence(F.lit(0), F.col("segments") - 1),
-        lambda g: F.xxhash64(F.filter("ranked", lambda x: x["rank"] % F.col("segments") == g)),
-    )
     counts = F.map_from_entries("hist")
     common = F.array(*[F.coalesce(F.element_at("counts", F.lit(c)), F.lit(0)) for c in COMMON_CHARACTERS])
     rare = F.map_filter("counts", lambda c, n: F.position(c, F.lit(COMMON_CHARACTERS)) == 0)
@@ -145,6 +144,28 @@ def _join_rows(reps: DataFrame, floor: float, crowd_rows: int) -> JoinRows:
         .withColumn("home", F.col("visit") == 0)
         .withColumn("key", F.struct("block", "band"))
     )
+    return placed.drop("visit", "own_band")
+
+
+def _similarity(a: Column, b: Column) -> Column:
+    """Exact character-multiset Jaccard of two non-empty texts given as structs of ``_HISTOGRAM``."""
+    total = a["length"] + b["length"]
+    apart = F.aggregate(F.zip_with(a["common"], b["common"], lambda x, y: F.abs(x - y)), F.lit(0), lambda acc, n: acc + n)
+    rare = F.map_zip_with(a["rare"], b["rare"], lambda _, x, y: F.abs(F.coalesce(x, F.lit(0)) - F.coalesce(y, F.lit(0))))
+    none_rare = (a["sum_rare"] == 0) & (b["sum_rare"] == 0)
+    apart = apart + F.when(none_rare, F.lit(0)).otherwise(F.aggregate(F.map_values(rare), F.lit(0), lambda acc, n: acc + n))
+    return (total - apart) / (total + apart)
+
+
+def _keyed(placed: DataFrame, floor: float, crowd_rows: int) -> JoinRows:
+    """Placed rows keyed by block, band and pivot cell; where short texts crowd a band, also by segment signature."""
+    rate = 2 * (1 - floor) / (1 + floor) * (1 + 1e-9)
+    longest = F.exp((F.col("band") + 1) * math.log(1 / (floor - 1e-6)))
+    segments = (F.floor(F.lit(rate) * longest + 1e-6) + 1).cast("int")
+    signatures = F.transform(
+        F.sequence(F.lit(0), F.col("segments") - 1),
+        lambda g: F.xxhash64(F.filter("ranked", lambda x: x["rank"] % F.col("segments") == g)),
+    )
     crowds = hot_groups(placed, "key", crowd_rows)
     if crowds is None:
         whole = placed.withColumns(
@@ -162,7 +183,7 @@ def _join_rows(reps: DataFrame, floor: float, crowd_rows: int) -> JoinRows:
             .select("*", F.posexplode("signatures").alias("segment", "signature"))
         )
     key = F.struct("block", "band", "segment", "signature").alias("key")
-    return JoinRows(materialize(whole.select(key, "home", "segment", *_PAYLOAD)), crowds is not None)
+    return JoinRows(materialize(whole.select(key, "home", "segment", "cell", *_PAYLOAD)), crowds is not None)
 
 
 def _prefixed(rows: DataFrame, prefix: str) -> DataFrame:
@@ -170,6 +191,14 @@ def _prefixed(rows: DataFrame, prefix: str) -> DataFrame:
     return rows.withColumnsRenamed({c: prefix + c for c in (*_PAYLOAD, "home")})
 
 
+def _sides(left: DataFrame, right: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The cell joins the key; the right side also visits the neighbouring cells."""
+    within = F.struct("key", F.col("cell").alias("cell")).alias("key")
+    rest = lambda rows: [c for c in rows.columns if c not in ("key", "cell")]
+    near = right.withColumn("cell", F.explode(visited_cells()))
+    return left.select(within, *rest(left)), near.select(within, *rest(right))
+
+
 def _close_enough(floor: float) -> Column:
     """Cheap necessary condition: distance of the group sums."""
     total = F.col("l_length") + F.col("r_length")
@@ -184,41 +213,48 @@ def _first_shared_segment() -> Column:
 
 
 def _score() -> Column:
-    """Exact character-multiset Jaccard of two different, non-empty texts."""
-    total = F.col("l_length") + F.col("r_length")
-
-    apart = F.aggregate(F.zip_with("l_common", "r_common", lambda a, b: F.abs(a - b)), F.lit(0), lambda acc, n: acc + n)
-    rare = F.map_zip_with(
-        "l_rare", "r_rare", lambda _, a, b: F.abs(F.coalesce(a, F.lit(0)) - F.coalesce(b, F.lit(0)))
-    )
-    none_rare = (F.col("l_sum_rare") == 0) & (F.col("r_sum_rare") == 0)
-    apart = apart + F.when(none_rare, F.lit(0)).otherwise(F.aggregate(F.map_values(rare), F.lit(0), lambda acc, n: acc + n))
-    return (total - apart) / (total + apart)
+    side = lambda p: F.struct(*[F.col(f"{p}_{c}").alias(c) for c in _HISTOGRAM])
+    return _similarity(side("l"), side("r"))
 
 
-def _matches(
-    left: DataFrame, right: DataFrame, condition: Column, floor: float, tile_rows: int | None
-) -> DataFrame:
-    """Join two sides on their key, check cheaply, score what is left. No ``tile_rows``: no hot keys."""
+def _candidates(left: DataFrame, right: DataFrame, condition: Column, floor: float, tile_rows: int | None) -> DataFrame:
+    """Two sides joined on their key as far as they pass the cheap tests. No ``tile_rows``: no hot keys."""
+    left, right = _sides(left, right)
     left, right = unspread(left, right) if tile_rows is None else spread(left, right, "key", "id", tile_rows)
     met = _prefixed(left, "l_").join(_prefixed(right, "r_").drop("segment"), ["key", "left_tile", "right_tile"])
-    near = met.where(condition & (F.col("l_id") != F.col("r_id")) & _close_enough(floor))
+    different = (F.col("l_id") != F.col("r_id")) & (F.col("l_group") != F.col("r_group"))
+    return met.where(condition & different & ~outside_reach(floor) & _close_enough(floor))
+
+
+def _matches(near: DataFrame) -> DataFrame:
+    """Candidates whose score suffices: ``(lid, rid, score, lgroup, rgroup)``."""
     # Scored in a generator of its own: the optimizer would move a filter on the score into
     # the join condition, evaluate it twice and take the join out of generated code.
     scores = F.array(F.when(_first_shared_segment(), _score()))
     good = F.explode_outer(F.filter(scores, lambda s: s >= F.col("l_min_score")))
     swap = F.col("l_id") > F.col("r_id")
-    return near.select("l_id", "r_id", good.alias("score")).where(F.col("score").isNotNull()).select(
-        F.when(swap, F.col("r_id")).otherwise(F.col("l_id")).alias("lid"),
-        F.when(swap, F.col("l_id")).otherwise(F.col("r_id")).alias("rid"),
-        "score",
+    return (
+        near.select("l_id", "r_id", "l_group", "r_group", good.alias("score"))
+        .where(F.col("score").isNotNull())
+        .select(
+            F.when(swap, F.col("r_id")).otherwise(F.col("l_id")).alias("lid"),
+            F.when(swap, F.col("l_id")).otherwise(F.col("r_id")).alias("rid"),
+            "score",
+            F.col("l_group").alias("lgroup"),
+            F.col("r_group").alias("rgroup"),
+        )
     )
 
 
-def _open_pairs(rows: DataFrame, floor: float, tile_rows: int | None) -> DataFrame:
-    """All similar pairs of the rows: home with home (once) and home with visitor."""
-    once = ~F.col("r_home") | (F.col("l_id") < F.col("r_id"))
-    return _matches(rows.where("home"), rows, once, floor, tile_rows)
+def _open_pairs(keyed: JoinRows, floor: float, tile_rows: int) -> DataFrame:
+    """Candidate pairs that may not be in one group yet.
+
+    Of a key's main group no two rows are compared: every pair has a row outside of it on
+    the left. Rows at home meet once, and meet visitors.
+    """
+    once = F.col("l_home") & (~F.col("r_home") | (F.col("l_id") < F.col("r_id")))
+    allowed = F.when(F.col("r_main"), F.col("l_home") | F.col("r_home")).otherwise(once)
+    return _candidates(keyed.rows.where("not main"), keyed.rows, allowed, floor, tile_rows if keyed.crowded else None)
 
 
 def _with_min_score(reps: DataFrame, threshold: Threshold) -> DataFrame:
@@ -253,97 +289,41 @@ def similar_pairs(
     to their representative instead of all pairs among them.
     """
     prints, reps = _prepare(products, keys, text, threshold)
-    keyed = _join_rows(reps, threshold.floor, min(crowd_rows, tile_rows))
-    found = _open_pairs(keyed.rows, threshold.floor, tile_rows if keyed.crowded else None)
-    return copy_edges(prints, reps).unionByName(found)
+    near = all_candidates(reps, threshold.floor, crowd_rows, tile_rows)
+    return copy_edges(prints, reps).unionByName(_matches(near).select("lid", "rid", "score"))
 
 
-def _link_to_leaders(rows: DataFrame, crowd_rows: int) -> tuple[DataFrame, list[DataFrame]]:
-    """Thin out crowded join keys without changing any cluster.
+def all_candidates(reps: DataFrame, floor: float, crowd_rows: int = CROWD_ROWS, tile_rows: int = TILE_ROWS) -> DataFrame:
+    """All pairs of representatives that have to be scored, as the join yields them."""
+    placed = measure(materialize(_place(reps, floor)), _HISTOGRAM, _similarity)
+    alone = cells(placed, floor).withColumn("group", F.col("id")).withColumn("main", F.lit(False))
+    return _open_pairs(_keyed(alone, floor, min(crowd_rows, tile_rows)), floor, tile_rows)
 
-    In each round every key that still holds more than ``crowd_rows`` untagged rows picks a
-    leader and compares those rows with it, a linear amount of work. Rows similar
-    to the leader get an edge to it and the round's number as their tag: they are
-    one cluster from then on and need not be compared with each other.
 
-    A row left untagged must still be compared with the tagged family, unless the
-    triangle inequality rules that out (1 - Jaccard is a metric): nothing within
-    ``radius`` of the leader can be similar to a row farther away from it than
-    ``radius + 1 - threshold``. Families it must meet are noted in ``targets``.
-    """
-    rows = rows.withColumn("tag", F.lit(None).cast("int")).withColumn(
-        "targets", F.array().cast("array<int>")
-    )
-    edges: list[DataFrame] = []
-    for number in range(LEADER_ROUNDS):
-        untagged = rows.where(F.col("tag").isNull())
-        hot = hot_groups(untagged, "key", crowd_rows)
-        if hot is None:
-            break
-        crowd = untagged.join(hot, "key", "left_semi")
-        leaders = crowd.groupBy("key").agg(
-            F.min_by(F.struct(*_PAYLOAD), F.xxhash64("id")).alias("leader")
-        )
-        compared = materialize(
-            leaders.select("key", *[F.col("leader")[c].alias("l_" + c) for c in _PAYLOAD])
-            .join(_prefixed(crowd, "r_"), "key")
-            .withColumn("score", _score())
-            .select("key", F.col("l_id").alias("leader"), F.col("r_id").alias("id"), "score", "r_min_score")
-            .withColumn("tied", F.col("score") >= F.col("r_min_score"))
-        )
-        radius = compared.where("tied").groupBy("key").agg(F.max(1 - F.col("score")).alias("radius"))
-        verdict = compared.join(radius, "key").select(
-            "key",
-            "id",
-            "tied",
-            (1 - F.col("score") <= F.col("radius") + 1 - F.col("r_min_score") + 1e-9).alias("near"),
-        )
-        edges.append(
-            compared.where("tied and leader <> id").select(
-                F.least("leader", "id").alias("lid"), F.greatest("leader", "id").alias("rid"), "score"
-            )
-        )
-        met = F.array(F.lit(number))
-        rows = materialize(
-            rows.join(verdict, ["key", "id"], "left")
-            .withColumn("tag", F.when(F.col("tied"), number).otherwise(F.col("tag")))
-            .withColumn(
-                "targets",
-                F.when(~F.col("tied") & F.col("near"), F.concat("targets", met)).otherwise(F.col("targets")),
-            )
-            .drop("tied", "near")
-        )
-    return rows, edges
+@dataclass(frozen=True)
+class Linking:
+    """``groups(id, group)``: representatives tied through pivots; ``near``: candidates between groups."""
 
+    groups: DataFrame
+    near: DataFrame
+
+
+def linking_candidates(reps: DataFrame, floor: float, crowd_rows: int = CROWD_ROWS, tile_rows: int = TILE_ROWS) -> Linking:
+    """Enough to connect what is connected: groups tied through pivots, and the pairs left to score."""
+    placed = measure(materialize(_place(reps, floor)), _HISTOGRAM, _similarity)
+    groups = connected_components(tie(placed, _HISTOGRAM, _similarity)).select("id", F.col("cluster_id").alias("group"))
+    grouped = placed.join(groups, "id", "left").withColumn("group", F.coalesce("group", "id"))
+    keyed = _keyed(main_groups(materialize(cells(grouped, floor))), floor, min(crowd_rows, tile_rows))
+    return Linking(groups, _open_pairs(keyed, floor, tile_rows))
 
-def _linking_edges(keyed_rows: JoinRows, floor: float, crowd_rows: int, tile_rows: int) -> DataFrame:
-    """Enough match edges among representatives to connect every cluster."""
-    if not keyed_rows.crowded:
-        return _open_pairs(keyed_rows.rows, floor, None)
-    rows, edges = _link_to_leaders(keyed_rows.rows, crowd_rows)
-    if not edges:
-        found = _open_pairs(rows.drop("tag", "targets"), floor, None)
-    else:
-        free = rows.where(F.col("tag").isNull()).drop("tag", "targets")
-        found = _open_pairs(free, floor, tile_rows)
-
-        def by_family(side: DataFrame, family: str) -> DataFrame:
-            joint = F.struct("key", F.col(family).alias("family"))
-            return side.withColumn("key", joint).drop("tag", "targets", "target")
-
-        outside = rows.where(F.size("targets") > 0).withColumn("target", F.explode("targets"))
-        either_home = F.col("l_home") | F.col("r_home")
-        across = _matches(
-            by_family(outside, "target"),
-            by_family(rows.where(F.col("tag").isNotNull()), "tag"),
-            either_home,
-            floor,
-            tile_rows,
-        )
-        found = found.unionByName(across)
-    for more in edges:
-        found = found.unionByName(more)
-    return found
+
+def representative_clusters(reps: DataFrame, floor: float, crowd_rows: int = CROWD_ROWS, tile_rows: int = TILE_ROWS) -> DataFrame:
+    """``(id, cluster_id)`` of the representatives that match another one."""
+    linking = linking_candidates(reps, floor, crowd_rows, tile_rows)
+    joined = connected_components(_matches(linking.near).select(F.col("lgroup").alias("lid"), F.col("rgroup").alias("rid")))
+    tied = lookup(linking.groups.withColumnRenamed("group", "cluster_id"), "cluster_id", joined, "cluster_id")
+    untied = joined.join(linking.groups.select("id"), "id", "left_anti")
+    return tied.select("id", "cluster_id").unionByName(untied.select("id", "cluster_id"))
 
 
 def similar_clusters(
@@ -362,16 +342,19 @@ def similar_clusters(
     ``lid`` and ``rid``) are kept and may join clusters.
     """
     prints, reps = _prepare(products, keys, text, threshold)
-    crowd_rows = min(crowd_rows, tile_rows)
-    keyed = _join_rows(reps, threshold.floor, crowd_rows)
-    edges = _linking_edges(keyed, threshold.floor, crowd_rows, tile_rows).select("lid", "rid")
+    labels = representative_clusters(reps, threshold.floor, crowd_rows, tile_rows)
     if prior is not None:
-        edges = edges.unionByName(copy_edges(prints, reps).select("lid", "rid"))
-        return connected_components(edges.unionByName(prior.select("lid", "rid")))
-    labels = connected_components(edges).withColumnRenamed("id", "rep")
+        links = labels.select(F.col("cluster_id").alias("lid"), F.col("id").alias("rid"))
+        links = links.unionByName(copy_edges(prints, reps).select("lid", "rid"))
+        return connected_components(links.unionByName(prior.select("lid", "rid")))
+    return named_members(prints, reps, labels)
+
+
+def named_members(prints: DataFrame, reps: DataFrame, labels: DataFrame) -> DataFrame:
+    """``(id, cluster_id)`` of all records that match another one, by their representatives' clusters."""
     named = (
         reps.withColumnRenamed("id", "rep")
-        .join(labels, "rep", "left")
+        .join(labels.withColumnRenamed("id", "rep"), "rep", "left")
         .where((F.col("copies") > 1) | F.col("cluster_id").isNotNull())
         .select("block", "hist", F.coalesce("cluster_id", "rep").alias("cluster_id"))
     )

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from .. import fixed_values as fixed
 from ..functions.text import (
+    PLAIN_WORD,
     collapse_whitespace,
     map_patterns,
     remove_words,
@@ -29,12 +30,16 @@ def remove_stop_groups(c: Column, groups: Iterable[StopGroup], unicode_edges: bo
     """Remove stop words group by group.
 
     Removing whole words cannot change which other words are whole, so the words
-    of neighbouring groups without patterns are removed together in one pass.
+    of neighbouring groups are removed together in one pass. So are patterns that
+    only list plain words.
     """
     pending: list[str] = []
     for group in groups:
         pending.extend(group.words)
-        if group.patterns:
+        listed = [word for pattern in group.patterns for word in pattern.split("|")]
+        if all(PLAIN_WORD.fullmatch(word) for word in listed):
+            pending.extend(listed)
+        else:
             c = remove_words(c, pending, unicode_edges)
             pending = []
             either = "|".join(group.patterns)

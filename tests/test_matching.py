@@ -1,12 +1,14 @@
 """Matching and clustering against brute force on small fixtures."""
 
 import itertools
+import pathlib
 import random
 from collections import Counter, defaultdict
 
 import pytest
+from pyspark.sql import functions as F
 
-from pairwright.operators import matching, tiles
+from pairwright.operators import cluster, matching, pivots, tiles
 from pairwright.operators.blocking import block_pairs
 from pairwright.operators.cluster import cluster_members, connected_components, expand_pairs, with_singletons
 from pairwright.operators.matching import Threshold, similar_clusters, similar_pairs
@@ -68,9 +70,7 @@ def frame(spark, rows):
     return spark.createDataFrame(rows, "id long, k1 string, k2 string, text string")
 
 
-@pytest.mark.parametrize("t", [0.85, 0.925])
-@pytest.mark.parametrize("short", [True, False])
-@pytest.mark.parametrize("crowd, tile", [(4096, 4096), (5, 4096), (5, 7)])
+@pytest.mark.parametrize("t, short, crowd, tile", [(0.85, True, 4096, 4096), (0.85, True, 5, 4096), (0.925, True, 5, 7), (0.925, False, 5, 7)])
 def test_pairs_equal_brute_force(spark, t, short, crowd, tile):
     rows = corpus(150, 3, short)
     expected = brute_edges(rows, t)
@@ -92,7 +92,7 @@ def test_pairs_equal_brute_force(spark, t, short, crowd, tile):
     assert closure(list(found)) == closure(list(expected))
 
 
-@pytest.mark.parametrize("crowd, tile", [(1024, 4096), (10, 40), (3, 6)])
+@pytest.mark.parametrize("crowd, tile", [(1024, 4096), (3, 6)])
 def test_clusters_equal_brute_force(spark, crowd, tile):
     for short in (True, False):
         rows = corpus(250, 11, short)
@@ -104,14 +104,44 @@ def test_clusters_equal_brute_force(spark, crowd, tile):
         assert len(got) == len(expected)
 
 
-def test_leaders_are_used_for_hot_keys(spark):
+@pytest.fixture
+def many_pivots(monkeypatch):
+    """Pivots, ties, cells and main groups already in small blocks."""
+    for name, value in {"CROWDED_ROWS": 3, "MAIN_ROWS": 2, "MIN_CELLS": 1}.items():
+        monkeypatch.setattr(pivots, name, value)
+
+
+@pytest.mark.parametrize("crowd, tile", [(1024, 4096), (3, 6)])
+def test_pivots_lose_nothing(spark, many_pivots, crowd, tile):
+    for short in (True, False):
+        rows = corpus(250, 11, short)
+        expected = brute_edges(rows, 0.9)
+        got = similar_clusters(frame(spark, rows), ["k1", "k2"], "text", Threshold(0.9), None, crowd, tile).collect()
+        assert {r.id: r.cluster_id for r in got} == closure(list(expected))
+        edges = similar_pairs(frame(spark, rows), ["k1", "k2"], "text", Threshold(0.9), crowd, tile).collect()
+        assert {(r.lid, r.rid) for r in edges} <= set(expected)
+        assert closure([(r.lid, r.rid) for r in edges]) == closure(list(expected))
+
+
+def test_pivots_tie_and_rule_out(spark, many_pivots):
     rows = corpus(250, 11, False)
-    prints, reps = matching._prepare(frame(spark, rows), ["k1", "k2"], "text", Threshold(0.9))
-    keyed = matching._join_rows(reps, 0.9, 6)
-    assert keyed.crowded
-    linked, edges = matching._link_to_leaders(keyed.rows, 6)
-    assert edges
-    assert linked.where("tag is not null").count() > 0
+    _, reps = matching._prepare(frame(spark, rows), ["k1", "k2"], "text", Threshold(0.9))
+    linking = matching.linking_candidates(reps, 0.9)
+    assert linking.groups.count() > 0
+    assert linking.near.count() < matching.all_candidates(reps, 0.9).count() / 4
+
+
+@pytest.mark.skipif(not pathlib.Path("/root/testdata/sf0.1").exists(), reason="no test data")
+def test_candidates_grow_about_as_the_documents(spark):
+    counts = []
+    for folder, share in (("sf0.01", 1), ("sf0.1", 2)):
+        docs = spark.read.parquet(f"/root/testdata/{folder}/documents.parquet").where(F.xxhash64("doc_id") % share == 0)
+        docs = docs.select(F.col("doc_id").alias("id"), "lang", "text")
+        _, reps = matching._prepare(docs, ["lang"], "text", matching.UNSTRUCTURED)
+        counts.append((docs.count(), matching.linking_candidates(reps, matching.UNSTRUCTURED.floor).near.count()))
+    (few, small), (many, large) = counts
+    print(counts)
+    assert 4.8 * few < many < 5.2 * few and large <= 7 * small
 
 
 FIXTURE = [
@@ -163,7 +193,9 @@ def test_components(spark):
     assert {(r.id, r.cluster_id) for r in all_ids.collect()} == {("A", "A"), ("D", "D")}
 
 
-def test_components_random_and_chain(spark):
+@pytest.mark.parametrize("last", [0, 40, 20_000])
+def test_components_random_and_chain(spark, monkeypatch, last):
+    monkeypatch.setattr(cluster, "LAST_EDGES", last)
     rng = random.Random(1)
     edges = [(rng.randrange(300), rng.randrange(300)) for _ in range(200)]
     edges += [(1000 + i, 1001 + i) for i in rng.sample(range(100), 100)]

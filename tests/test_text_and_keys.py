@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from pairwright import fixed_values as fixed
+from pairwright.functions.histogram import char_histogram
 from pairwright.functions import text as t
 from pairwright.functions.similarity import char_jaccard, histogram_length, token_jaccard
 from pairwright.operators import keys, normalize
@@ -186,7 +187,7 @@ def test_structured_normalisation(spark):
 def test_char_jaccard(spark):
     pairs = [("stop", "POTS", 1.0), ("aab", "abb", 0.5), ("abc", "xyz", 0.0), ("aaaa", "a", 0.25), ("", "", 1.0), ("", "q", 0.0), ("😀a", "😀b", 1 / 3)]
     df = spark.createDataFrame([(i, a, b) for i, (a, b, _) in enumerate(pairs)], "i int, a string, b string")
-    h = df.select("i", t.char_histogram(F.col("a")).alias("a"), t.char_histogram(F.col("b")).alias("b"))
+    h = df.select("i", char_histogram(F.col("a")).alias("a"), char_histogram(F.col("b")).alias("b"))
     score = char_jaccard(
         F.map_from_entries("a"), F.map_from_entries("b"), histogram_length(F.col("a")), histogram_length(F.col("b"))
     )
