@@ -251,10 +251,11 @@ def test_run_baseline(spark):
 
 
 def test_scratch_folder_comes_from_the_session(spark):
-    from pairwright.session import materialize, scratch_root
+    from pairwright.session import materialize, run_folder, scratch_root
 
-    root = scratch_root(spark)
-    assert root == spark.conf.get("spark.checkpoint.dir")
-    before = set(pathlib.Path(root).iterdir())
+    assert scratch_root(spark) == spark.conf.get("spark.checkpoint.dir")
+    folder = pathlib.Path(run_folder(spark))
+    assert folder.parent == pathlib.Path(scratch_root(spark))
+    before = set(folder.iterdir()) if folder.exists() else set()
     assert materialize(spark.range(3).select(F.col("id"))).count() == 3
-    assert len(set(pathlib.Path(root).iterdir()) - before) == 1
+    assert len(set(folder.iterdir()) - before) == 1
