@@ -128,7 +128,9 @@ def links(prints: DataFrame, crowd: int = CROWD, tile_rows: int = TILE_ROWS) ->
 
     All links of fingerprints at uncrowded anchors; at crowded ones enough to connect them.
     """
-    rows = materialize(anchors(prints))
+    # Few and small partitions hold the fingerprints; their copies are made by all tasks.
+    tasks = int(prints.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    rows = materialize(anchors(prints.repartition(tasks)))
     crowded = materialize(rows.where("home").groupBy("anchor").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > crowd).select("anchor"))
     once = F.col("l_fp") < F.col("r_fp")
     n = crowded.count()
