@@ -4,7 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from .cluster import cluster_sizes, connected_components
+from ..session import materialize
+from .cluster import cluster_sizes, connected_components, pairs_among
+from .tiles import TILE_ROWS, spread
 
 
 def orient_pairs(pairs: DataFrame) -> DataFrame:
@@ -128,3 +130,78 @@ def enrich_pairs(pairs: DataFrame, products: DataFrame) -> DataFrame:
         *[c for c in left.columns if c != "lid"],
         *[c for c in right.columns if c != "rid"],
     )
+
+
+def outcome_members(truth: DataFrame, found: DataFrame) -> DataFrame:
+    """``(id, truth_cluster, found_cluster)`` of every record in either clustering."""
+    return truth.select("id", F.col("cluster_id").alias("truth_cluster")).join(
+        found.select("id", F.col("cluster_id").alias("found_cluster")), "id", "full"
+    )
+
+
+def outcome_cells(members: DataFrame) -> DataFrame:
+    """Records per truth cluster and found cluster: ``(truth_cluster, found_cluster, n)``.
+
+    All closed pairs follow from the cells. Those inside a cell with both clusters are the
+    true positives, those between cells of one truth cluster the false negatives, those
+    between cells of one found cluster the false positives. A record outside of one
+    clustering has no pairs there; it is missing in that column.
+    """
+    return members.groupBy("truth_cluster", "found_cluster").agg(F.count(F.lit(1)).alias("n"))
+
+
+def cell_metrics(cells: DataFrame) -> DataFrame:
+    """Counts, precision, recall and F1 over closed pairs, from cells."""
+    in_both = F.col("truth_cluster").isNotNull() & F.col("found_cluster").isNotNull()
+    tp = cells.where(in_both).select(pairs_among("n").alias("tp"), F.lit(0).alias("known"), F.lit(0).alias("reported"))
+    sides = [tp]
+    for side, name in (("truth_cluster", "known"), ("found_cluster", "reported")):
+        sizes = cells.where(F.col(side).isNotNull()).groupBy(side).agg(F.sum("n").alias("n"))
+        zero = {c: F.lit(0) for c in ("tp", "known", "reported") if c != name}
+        sides.append(sizes.select(pairs_among("n").alias(name)).withColumns(zero))
+    total = sides[0].unionByName(sides[1]).unionByName(sides[2]).agg(
+        *[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in ("tp", "known", "reported")]
+    )
+    return _metrics(
+        total.select("tp", (F.col("reported") - F.col("tp")).alias("fp"), (F.col("known") - F.col("tp")).alias("fn"))
+    )
+
+
+def outcome_pairs(members: DataFrame, outcome: str, tile_rows: int = TILE_ROWS) -> DataFrame:
+    """The pairs of one outcome, ``lid < rid``, for those who need the list.
+
+    As many rows as there are such pairs; nothing else in this package asks for it.
+    """
+    side = "found_cluster" if outcome == "false_positive" else "truth_cluster"
+    other = "truth_cluster" if side == "found_cluster" else "found_cluster"
+    rows = members.where(F.col(side).isNotNull()).select(F.struct(side).alias("key"), "id", F.col(other).alias("other"))
+    left, right = spread(rows, rows, "key", "id", tile_rows)
+    met = left.withColumnsRenamed({"id": "lid", "other": "l_other"}).join(
+        right.withColumnsRenamed({"id": "rid", "other": "r_other"}), ["key", "left_tile", "right_tile"]
+    )
+    together = F.coalesce(F.col("l_other") == F.col("r_other"), F.lit(False))
+    wanted = together if outcome == "true_positive" else ~together
+    return met.where((F.col("lid") < F.col("rid")) & wanted).select("lid", "rid")
+
+
+def evaluate_links(truth: DataFrame, links: DataFrame, members: DataFrame) -> DataFrame:
+    """Evaluate matches given as class links and members, as a set of pairs ``lid < rid``.
+
+    ``links``: ``(lid, rid, pairs)`` between classes, a class with itself for its inner
+    pairs; ``members``: ``(id, class_id)``. Known pairs are looked up as they stand,
+    without closing or turning them; repeated ones count once.
+    """
+    known = materialize(truth.select("lid", "rid").distinct())
+    of = lambda side, name: members.select(F.col("id").alias(side), F.col("class_id").alias(name))
+    placed = known.where("lid < rid").join(of("lid", "a"), "lid").join(of("rid", "b"), "rid")
+    linked = links.select(F.col("lid").alias("low"), F.col("rid").alias("high"))
+    hits = placed.select(F.least("a", "b").alias("low"), F.greatest("a", "b").alias("high")).join(linked, ["low", "high"])
+    counts = [
+        hits.agg(F.count(F.lit(1)).alias("tp")).select("tp", F.lit(0).alias("known"), F.lit(0).alias("reported")),
+        known.agg(F.lit(0).alias("tp"), F.count(F.lit(1)).alias("known"), F.lit(0).alias("reported")),
+        links.agg(F.lit(0).alias("tp"), F.lit(0).alias("known"), F.coalesce(F.sum("pairs"), F.lit(0)).alias("reported")),
+    ]
+    total = counts[0].unionByName(counts[1]).unionByName(counts[2]).agg(*[F.sum(c).alias(c) for c in ("tp", "known", "reported")])
+    return _metrics(
+        total.select("tp", (F.col("reported") - F.col("tp")).alias("fp"), (F.col("known") - F.col("tp")).alias("fn"))
+    )

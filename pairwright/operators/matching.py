@@ -39,9 +39,10 @@ from ..functions.histogram import char_histogram
 from ..functions.similarity import histogram_length, name_tokens, token_overlap
 from ..session import materialize
 from .blocking import baseline_blocks, block_of
-from .cluster import connected_components, lookup
+from .cluster import connected_components, lookup, pairs_among
 from .pivots import PIVOTS, cells, main_groups, measure, outside_reach, tie, visited_cells
-from .tiles import TILE_ROWS, hot_groups, spread, unspread
+from .ranking import with_rank
+from .tiles import TILE_ROWS, checked_broadcast, hot_groups, spread, unspread
 
 GROUP_SUMS = 20
 MAX_SEGMENTS = 8
@@ -308,18 +309,33 @@ class Linking:
     near: DataFrame
 
 
-def linking_candidates(reps: DataFrame, floor: float, crowd_rows: int = CROWD_ROWS, tile_rows: int = TILE_ROWS) -> Linking:
-    """Enough to connect what is connected: groups tied through pivots, and the pairs left to score."""
-    placed = measure(materialize(_place(reps, floor)), _HISTOGRAM, _similarity)
+def linking_candidates(
+    reps: DataFrame,
+    floor: float,
+    crowd_rows: int = CROWD_ROWS,
+    tile_rows: int = TILE_ROWS,
+    measured: DataFrame | None = None,
+) -> Linking:
+    """Enough to connect what is connected: groups tied through pivots, and the pairs left to score.
+
+    ``measured``: the placed representatives with their pivots, if they are at hand.
+    """
+    placed = measure(materialize(_place(reps, floor)), _HISTOGRAM, _similarity) if measured is None else measured
     groups = connected_components(tie(placed, _HISTOGRAM, _similarity)).select("id", F.col("cluster_id").alias("group"))
     grouped = placed.join(groups, "id", "left").withColumn("group", F.coalesce("group", "id"))
     keyed = _keyed(main_groups(materialize(cells(grouped, floor))), floor, min(crowd_rows, tile_rows))
     return Linking(groups, _open_pairs(keyed, floor, tile_rows))
 
 
-def representative_clusters(reps: DataFrame, floor: float, crowd_rows: int = CROWD_ROWS, tile_rows: int = TILE_ROWS) -> DataFrame:
+def representative_clusters(
+    reps: DataFrame,
+    floor: float,
+    crowd_rows: int = CROWD_ROWS,
+    tile_rows: int = TILE_ROWS,
+    measured: DataFrame | None = None,
+) -> DataFrame:
     """``(id, cluster_id)`` of the representatives that match another one."""
-    linking = linking_candidates(reps, floor, crowd_rows, tile_rows)
+    linking = linking_candidates(reps, floor, crowd_rows, tile_rows, measured)
     joined = connected_components(_matches(linking.near).select(F.col("lgroup").alias("lid"), F.col("rgroup").alias("rid")))
     tied = lookup(linking.groups.withColumnRenamed("group", "cluster_id"), "cluster_id", joined, "cluster_id")
     untied = joined.join(linking.groups.select("id"), "id", "left_anti")
@@ -390,3 +406,72 @@ def baseline_matches(
         .where(F.col("similarity") >= min_score)
         .orderBy(F.desc("similarity"), F.desc("lid"), F.desc("rid"))
     )
+
+
+@dataclass(frozen=True)
+class BaselineClasses:
+    """Baseline matches without listing pairs.
+
+    ``members``: ``(id, class_id)``, records of one key with equal token sets, named by the
+    smallest. ``links``: ``(lid, rid, similarity, pairs)``, classes similar enough and the
+    record pairs this stands for; a class of several records is linked with itself.
+    """
+
+    members: DataFrame
+    links: DataFrame
+
+
+def baseline_classes(
+    products: DataFrame, text: str, min_score: float = fixed.BASELINE_THRESHOLD, tile_rows: int = TILE_ROWS
+) -> BaselineClasses:
+    """Records sharing a baseline key, matched by token overlap class by class.
+
+    An overlap of at least t times the larger set means that two sets share one of their
+    first ``size - ceil(t * size) + 1`` tokens in any common order; rare tokens come first
+    in it. Only classes that meet at such a token are compared, once, at the first one.
+    """
+    tokens = F.sort_array(name_tokens(F.col(text)))
+    keyed = materialize(baseline_blocks(products, text).select(F.col("block_key").alias("key"), "id", tokens.alias("tokens")))
+    classes = materialize(
+        keyed.groupBy("key", "tokens").agg(F.min("id").alias("class_id"), F.count(F.lit(1)).alias("n"))
+    )
+    few = checked_broadcast(classes.select("key", "tokens", "class_id"))
+    members = keyed.join(few, ["key", "tokens"]).select("id", "class_id")
+
+    single = classes.select("key", "class_id", F.explode("tokens").alias("token"))
+    frequency = single.groupBy("key", "token").agg(F.count(F.lit(1)).alias("f"))
+    ordered = single.join(frequency, ["key", "token"]).groupBy("class_id").agg(F.sort_array(F.collect_list(F.struct("f", "token"))).alias("o"))
+    size = F.size("tokens")
+    reach = size - F.ceil(size * F.lit(min_score) - 1e-9).cast("int") + 1
+    prefixed = materialize(
+        classes.join(ordered, "class_id").select(
+            "key", "class_id", "n", "tokens", F.slice(F.transform("o", lambda x: x["token"]), F.lit(1), reach).alias("prefix")
+        )
+    )
+    at_token = materialize(prefixed.withColumn("token", F.explode("prefix")).withColumn("key", F.struct("key", "token")))
+    left, right = spread(at_token, at_token, "key", "class_id", tile_rows)
+    renamed = lambda side, p: side.withColumnsRenamed({c: p + c for c in ("class_id", "n", "tokens", "prefix")})
+    overlap = token_overlap(F.col("l_tokens"), F.col("r_tokens"))
+    first = F.get(F.array_intersect("l_prefix", "r_prefix"), F.lit(0)) == F.col("token")
+    sizes_fit = F.least(F.size("l_tokens"), F.size("r_tokens")) >= F.greatest(F.size("l_tokens"), F.size("r_tokens")) * min_score - 1e-9
+    across = (
+        renamed(left, "l_")
+        .join(renamed(right, "r_").drop("token"), ["key", "left_tile", "right_tile"])
+        .where((F.col("l_class_id") < F.col("r_class_id")) & sizes_fit & first)
+        .select(
+            F.col("l_class_id").alias("lid"),
+            F.col("r_class_id").alias("rid"),
+            overlap.alias("similarity"),
+            (F.col("l_n") * F.col("r_n")).alias("pairs"),
+        )
+        .where(F.col("similarity") >= min_score)
+    )
+    inner = classes.where("n > 1").select(
+        F.col("class_id").alias("lid"), F.col("class_id").alias("rid"), F.lit(1.0).alias("similarity"), pairs_among("n").alias("pairs")
+    )
+    return BaselineClasses(members, across.unionByName(inner))
+
+
+def ranked_links(links: DataFrame) -> DataFrame:
+    """Links with their ``rank``: most similar first, then larger ids first."""
+    return with_rank(links, [F.desc("similarity"), F.desc("lid"), F.desc("rid")])

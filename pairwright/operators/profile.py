@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -14,8 +15,11 @@ from ..functions.similarity import (
     token_jaccard,
 )
 from ..functions.text import words
-from .cluster import connected_components
+from ..session import materialize
+from .cluster import connected_components, pairs_among
 from .evaluate import enrich_pairs
+from .ranking import with_running_sums
+from .tiles import spread
 
 QUANTILE_BINS = 1024
 
@@ -174,3 +178,73 @@ def truth_profile(
     members = connected_components(truth).where("id <> cluster_id")
     pairs = members.select(F.col("cluster_id").alias("lid"), F.col("id").alias("rid"))
     return pair_profile(pairs, products, texts, structured)
+
+
+def closed_truth_means(
+    truth: DataFrame, products: DataFrame, texts: Sequence[str], structured: bool
+) -> DataFrame:
+    """Number of closed pairs of the truth and the mean of every measure over them; one row.
+
+    The measures are those of :func:`pair_profile`, over every pair of records whose
+    known links reach each other. Pairs are not listed:
+
+    * price gaps come from running sums over the prices of a cluster in order. A price v
+      with c smaller ones summing to s adds v*c - s to the absolute gaps and c - s/v to the
+      relative ones;
+    * equal brands are counted per cluster and brand;
+    * records of a cluster with equal token sets are one class; only different classes of
+      one cluster are compared, tile by tile, and summed where they meet.
+
+    Measures a pair lacks (a missing price, a larger price of 0) are left out of its mean.
+    """
+    members = materialize(
+        connected_components(truth).withColumnRenamed("cluster_id", "cluster").join(products, "id", "left")
+    )
+    sizes = members.groupBy("cluster").agg(F.count(F.lit(1)).alias("n"))
+    means = [sizes.agg(F.coalesce(F.sum(pairs_among("n")), F.lit(0)).alias("pairs"))]
+    if structured:
+        means += [_price_means(members), _brand_mean(members)]
+    means += [_overlap_mean(members, c) for c in texts]
+    rows = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), means)  # one row each
+    row = rows.agg(*[F.max(c).alias(c) for c in rows.columns])
+    shares = [c for c in row.columns if c == "brand_match" or c.endswith("_token_overlap")]
+    return row.withColumns({c: F.try_divide(F.col(c), F.col("pairs")) for c in shares})
+
+
+def _price_means(members: DataFrame) -> DataFrame:
+    prices = members.select("cluster", F.col("price").cast("double").alias("price")).where("price is not null and not isnan(price)")
+    counted = prices.groupBy("cluster", "price").agg(F.count(F.lit(1)).alias("n"))
+    below = with_running_sums(counted, "cluster", F.col("price"), {"c": F.col("n"), "s": F.col("price") * F.col("n")})
+    n, c, s, v = (F.col(x) for x in ("n", "c", "s", "price"))
+    met = n * c + pairs_among("n")
+    summed = below.agg(
+        F.sum(met).alias("gaps"),
+        F.sum(n * (v * c - s)).alias("gap"),
+        F.sum(F.when(v != 0, met)).alias("shares"),
+        F.sum(F.when(v != 0, n * (c - s / v))).alias("share"),
+    )
+    return summed.select(F.try_divide("gap", "gaps").alias("price_diff"), F.try_divide("share", "shares").alias("price_rel_diff"))
+
+
+def _brand_mean(members: DataFrame) -> DataFrame:
+    brand = F.coalesce(F.lower("brand"), F.lit(""))
+    same = members.groupBy("cluster", brand.alias("brand")).agg(F.count(F.lit(1)).alias("n"))
+    return same.agg(F.coalesce(F.sum(pairs_among("n")), F.lit(0)).alias("brand_match"))
+
+
+def _overlap_mean(members: DataFrame, text: str) -> DataFrame:
+    """Sum of the token Jaccard over all pairs of a cluster, by classes of equal token sets."""
+    tokens = F.sort_array(F.array_distinct(words(F.coalesce(F.col(text), F.lit("nan")))))
+    classes = materialize(
+        members.groupBy("cluster", tokens.alias("tokens")).agg(F.count(F.lit(1)).alias("n"), F.min("id").alias("id"))
+    )
+    filled = classes.where(F.size("tokens") > 0).withColumn("key", F.struct("cluster")).drop("cluster")
+    alike = classes.where(F.size("tokens") > 0).select(pairs_among("n").cast("double").alias("total"))
+    left, right = spread(filled, filled, "key", "id")
+    left = left.withColumnsRenamed({"tokens": "a", "n": "l_n", "id": "l_id"})
+    right = right.withColumnsRenamed({"tokens": "b", "n": "r_n", "id": "r_id"})
+    shared = F.size(F.array_intersect("a", "b"))
+    across = left.join(right, ["key", "left_tile", "right_tile"]).where("l_id < r_id").select(
+        (F.col("l_n") * F.col("r_n") * shared / (F.size("a") + F.size("b") - shared)).alias("total")
+    )
+    return alike.unionByName(across).agg(F.coalesce(F.sum("total"), F.lit(0.0)).alias(f"{text}_token_overlap"))

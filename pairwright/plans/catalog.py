@@ -33,7 +33,16 @@ from ..operators.keys import (
     standalone,
     storage_maker_key,
 )
-from ..operators.matching import UNSTRUCTURED, Threshold, baseline_matches, similar_clusters, similar_pairs
+from ..operators.incremental import build_index, extend_index
+from ..operators.matching import (
+    UNSTRUCTURED,
+    Threshold,
+    baseline_classes,
+    baseline_matches,
+    ranked_links,
+    similar_clusters,
+    similar_pairs,
+)
 from ..operators.normalize import (
     clean_symbols,
     normalize_structured,
@@ -99,6 +108,14 @@ def ground_truth_pairs(spark, sf):
     return truth_pairs(v.known_pairs(spark, sf))
 
 
+@query(
+    f"SELECT rid AS lid, lid AS rid FROM ({v.KNOWN_SQL}) WHERE greatest(lid, rid) <= {READ_LIMIT} - 2 ORDER BY lid, rid"
+)
+def ground_truth_within_limit(spark, sf):
+    """Known pairs that fit products read with a limit."""
+    return truth_pairs(v.known_pairs(spark, sf), READ_LIMIT)
+
+
 @query(f"SELECT least(lid, rid) AS lid, greatest(lid, rid) AS rid FROM ({v.REPORTED_SQL})")
 def result_roundtrip(spark, sf):
     path = scratch_path(spark)
@@ -339,6 +356,64 @@ def baseline_matches_products(spark, sf):
     )
 
 
+@query(f"WITH RECURSIVE {DOCUMENT_EDGES_SQL}, {o.closed('edges', 'labels')} SELECT id, cluster_id FROM labels")
+def indexed_clusters(spark, sf):
+    """Half of the documents matched and indexed, then the other half against the index alone."""
+    docs = v.documents(spark, sf, "lang")
+    later = F.xxhash64("id") % 2 == 0
+    index = build_index(docs.where(~later), DOCUMENT_KEYS, "title", UNSTRUCTURED, scratch_path(spark))
+    return extend_index(index, docs.where(later), DOCUMENT_KEYS, "title", UNSTRUCTURED).clusters
+
+
+THRESHOLDS_SQL = o.matches(
+    STORAGE_KEYS_SQL,
+    STRUCTURED_KEYS,
+    "name",
+    f"CASE WHEN block_rows > {fixed.STRUCTURED_LARGE_BLOCK_ROWS} THEN {fixed.STRUCTURED_LARGE_BLOCK_THRESHOLD} "
+    f"ELSE {fixed.STRUCTURED_THRESHOLD} END",
+)
+
+
+@query(f"WITH {THRESHOLDS_SQL} SELECT lid, rid, round(score, 6) AS score FROM edges")
+def block_size_threshold_pairs(spark, sf):
+    """Large blocks ask for a higher score, if the caller wants them to."""
+    rising = Threshold(
+        fixed.STRUCTURED_THRESHOLD, fixed.STRUCTURED_LARGE_BLOCK_THRESHOLD, fixed.STRUCTURED_LARGE_BLOCK_ROWS
+    )
+    pairs = similar_pairs(blocking_structured(spark, sf), STRUCTURED_KEYS, "name", rising)
+    return pairs.select("lid", "rid", *rounded("score"))
+
+
+BASELINE_CLASSES_SQL = f"""
+b AS (SELECT id, {BASELINE_SQL} AS block_key,
+             list_sort(list_distinct(regexp_extract_all(lower(name), '{o.NOT_SPACE}+'))) AS tokens
+      FROM ({v.STORAGE_SQL})),
+placed AS (SELECT id, block_key, tokens, min(id) OVER (PARTITION BY block_key, tokens) AS class_id
+           FROM b WHERE block_key <> ''),
+classes AS (SELECT block_key, tokens, class_id, count(*) AS n FROM placed GROUP BY ALL),
+links AS (
+  SELECT x.class_id AS lid, y.class_id AS rid, x.n * y.n AS pairs,
+         CAST(len(list_intersect(x.tokens, y.tokens)) AS DOUBLE) / greatest(len(x.tokens), len(y.tokens)) AS similarity
+  FROM classes x JOIN classes y ON x.block_key = y.block_key AND x.class_id < y.class_id
+  UNION ALL SELECT class_id, class_id, n * (n - 1) // 2, 1.0::DOUBLE FROM classes WHERE n > 1),
+good AS (SELECT * FROM links WHERE similarity >= {fixed.BASELINE_THRESHOLD})"""
+
+
+@query(
+    f"WITH {BASELINE_CLASSES_SQL} SELECT lid, rid, round(similarity, 6) AS similarity, pairs, "
+    "row_number() OVER (ORDER BY similarity DESC, lid DESC, rid DESC) AS rank FROM good"
+)
+def baseline_ranked_links(spark, sf):
+    """Candidates as links between classes of equal token sets, in their global order."""
+    classes = baseline_classes(v.storage(spark, sf).select("id", "name"), "name")
+    return ranked_links(classes.links).select("lid", "rid", *rounded("similarity"), "pairs", "rank")
+
+
+@query(f"WITH {BASELINE_CLASSES_SQL} SELECT id, class_id FROM placed")
+def baseline_members(spark, sf):
+    return baseline_classes(v.storage(spark, sf).select("id", "name"), "name").members
+
+
 # --- clusters -------------------------------------------------------------------------
 
 REPORTED_CLUSTERS_SQL = f"WITH RECURSIVE pairs AS ({v.REPORTED_SQL}), {o.closed('pairs', 'labels')}"
@@ -432,6 +507,64 @@ def baseline_evaluate(spark, sf):
     return metrics.select("tp", "fp", "fn", *rounded("precision", "recall", "f1"))
 
 
+@query(
+    f"""WITH RECURSIVE k AS ({v.KNOWN_SQL}), q AS ({v.REPORTED_SQL}),
+{o.closed('k', 'kl')}, {o.closed('q', 'ql')}
+SELECT kl.cluster_id AS truth_cluster, ql.cluster_id AS found_cluster, count(*) AS n
+FROM kl FULL JOIN ql USING (id) GROUP BY ALL"""
+)
+def outcome_cells(spark, sf):
+    """Records per known and found cluster; every outcome's pairs follow from the counts."""
+    truth, found = (connected_components(p(spark, sf)) for p in (v.known_pairs, v.reported_pairs))
+    return evaluate.outcome_cells(evaluate.outcome_members(truth, found))
+
+
+def scored_sql(matches: str) -> str:
+    """Closed pairs of a matcher's edges against those of the known products."""
+    return f"""WITH RECURSIVE {matches}, {o.closed('edges', 'ql')},
+kl AS (SELECT p_partkey AS id, min(p_partkey) OVER (PARTITION BY p_name, p_type) AS cluster_id FROM part),
+truth AS ({all_pairs_sql('kl')}), found AS ({all_pairs_sql('ql')}),
+tp AS (SELECT * FROM truth SEMI JOIN found USING (lid, rid)) {METRICS_SQL}"""
+
+
+def scored(spark, clusters, sf, products) -> DataFrame:
+    metrics = run.link_and_score(clusters, known_products(spark, sf), products, scratch_path(spark), {"read_limit": None})
+    return metrics.select("tp", "fp", "fn", *rounded("precision", "recall", "f1"))
+
+
+@query(scored_sql(MATCH_UNSTRUCTURED_SQL))
+def link_and_score_unstructured(spark, sf):
+    """Free-text products from normalisation to F1."""
+    return scored(spark, match_unstructured(spark, sf), sf, v.laptops(spark, sf))
+
+
+@query(scored_sql(MATCH_STRUCTURED_SQL))
+def link_and_score_structured(spark, sf):
+    """Structured products from normalisation to F1."""
+    return scored(spark, match_structured(spark, sf), sf, v.storage(spark, sf))
+
+
+def known_products(spark, sf):
+    """Products of one name and type as known pairs, smaller id first."""
+    rows = v.table(spark, sf, "part", "p_partkey", "p_name", "p_type").withColumnRenamed("p_partkey", "id")
+    return evaluate.orient_pairs(v.star_pairs(rows, "p_name", "p_type"))
+
+
+KNOWN_PRODUCTS_SQL = """
+SELECT lid, id AS rid FROM (SELECT p_partkey AS id,
+  min(p_partkey) OVER (PARTITION BY p_name, p_type) AS lid FROM part) WHERE id <> lid"""
+
+
+@query(
+    f"""WITH truth AS ({KNOWN_PRODUCTS_SQL}), found AS (SELECT lid, rid FROM ({BASELINE_MATCHES_SQL})),
+tp AS (SELECT * FROM truth SEMI JOIN found USING (lid, rid)) {METRICS_SQL}"""
+)
+def link_and_score_baseline(spark, sf):
+    """The baseline from its keys to F1, without listing a pair."""
+    metrics = run.link_and_score_baseline(v.storage(spark, sf).select("id", "name"), "name", known_products(spark, sf))
+    return metrics.select("tp", "fp", "fn", *rounded("precision", "recall", "f1"))
+
+
 @query(
     f"""SELECT p.lid, p.rid, a.lang AS llang, a.n_chars AS ln_chars, b.lang AS rlang, b.n_chars AS rn_chars
 FROM ({v.KNOWN_SQL}) p LEFT JOIN documents a ON a.doc_id = p.lid LEFT JOIN documents b ON b.doc_id = p.rid"""
@@ -575,3 +708,24 @@ def truth_profile(spark, sf):
         storage_truth(spark, sf), v.storage(spark, sf), ("name", "description"), structured=True
     )
     return profile.profile_means(measured).select("pairs", *rounded(*MEASURES))
+
+
+CLOSED_PROFILE_SQL = PROFILE_SQL.replace(
+    STORAGE_TRUTH_SQL,
+    """
+SELECT a.p_partkey AS lid, b.p_partkey AS rid FROM part a
+JOIN part b ON a.p_name = b.p_name AND a.p_type = b.p_type AND a.p_partkey < b.p_partkey""",
+)
+
+
+@query(
+    "SELECT count(*) AS pairs, "
+    + ", ".join(f"round(avg(CAST({m} AS DOUBLE)), 6) AS {m}" for m in MEASURES)
+    + f" FROM ({CLOSED_PROFILE_SQL})"
+)
+def closed_truth_profile(spark, sf):
+    """Means over all closed pairs of the known products, none of them listed."""
+    means = profile.closed_truth_means(
+        storage_truth(spark, sf), v.storage(spark, sf), ("name", "description"), structured=True
+    )
+    return means.select("pairs", *rounded(*MEASURES))

@@ -8,17 +8,28 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 
 from ..operators.cluster import connected_components, expand_pairs
-from ..operators.evaluate import classify_pairs, evaluate_baseline, evaluate_pairs
+from ..operators.evaluate import (
+    cell_metrics,
+    classify_pairs,
+    evaluate_baseline,
+    evaluate_links,
+    evaluate_pairs,
+    outcome_cells,
+    outcome_members,
+)
 from ..operators.keys import STRUCTURED_KEYS, UNSTRUCTURED_KEYS, add_structured_keys, add_unstructured_keys
 from ..operators.matching import (
     STRUCTURED,
     UNSTRUCTURED,
+    baseline_classes,
     baseline_matches,
     similar_clusters,
     similar_pairs,
 )
 from ..operators.normalize import normalize_structured, normalize_unstructured
 from ..rules import StopGroup
+from ..session import materialize
+from ..sources import store
 from ..sources.sinks import write_evaluation, write_pairs
 from ..sources.tables import read_metadata, read_results
 
@@ -89,6 +100,29 @@ def run_and_evaluate(
     return evaluate_pairs(truth, found)
 
 
+def link_and_score(
+    clusters: DataFrame, truth: DataFrame, products: DataFrame, path: str, settings: dict
+) -> DataFrame:
+    """Commit the outcome of a clustering at ``path`` and return its metrics row.
+
+    The result holds every record of a known or found cluster with its product
+    (``members``), and the counts per truth and found cluster (``cells``). Known pairs,
+    matched pairs, true positives, false negatives and false positives all follow from
+    them, see :func:`outcome_cells`; :func:`outcome_pairs` lists one kind if asked to.
+    """
+    spark = products.sparkSession
+    members = materialize(outcome_members(connected_components(truth), clusters))
+    tables = {"members": members.join(products, "id", "left"), "cells": outcome_cells(members)}
+    manifest = store.commit(spark, path, tables, settings)
+    return cell_metrics(store.read_table(spark, manifest, "cells"))
+
+
+def link_and_score_baseline(products: DataFrame, text: str, truth: DataFrame) -> DataFrame:
+    """Baseline matching and its metrics row, without listing a pair."""
+    classes = baseline_classes(products, text)
+    return evaluate_links(truth, materialize(classes.links), materialize(classes.members))
+
+
 def results_are_current(spark: SparkSession, path: str, read_limit: int | None, dataset: object) -> bool:
     """Whether results at ``path`` were computed with these settings."""
     try:
