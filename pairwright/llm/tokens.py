@@ -3,17 +3,17 @@
 from __future__ import annotations
 
 import os
-import re
 from collections.abc import Iterator
 from functools import lru_cache
-from operator import itemgetter
+from itertools import accumulate
 
 import numpy as np
 
-CACHE_WORDS = 250_000
+CACHE_WORDS = 400_000
 CHUNK_CHARS = 1_000_000
-# Blanks for Python but not for tokenizers: texts with them are encoded whole.
-_ODD_BLANKS = re.compile("[\x1c-\x1f]")
+# Blanks for Python but not for tokenizers: chunks with them are encoded whole.
+_ODD_BLANKS = "\x1c\x1d\x1e\x1f"
+_MARKS = ".,;:!?"
 
 
 def read_file(path: str) -> str:
@@ -26,9 +26,11 @@ class WordEncoder:
     """Ids of whole texts as little-endian unsigned 32-bit integers.
 
     A tokenizer that drops blanks and never looks across them encodes a text as the
-    concatenation of its words, so words are encoded once and remembered. The memory
-    has two generations of bounded size; words of the older one move up when met
-    again. Any other tokenizer encodes whole texts.
+    concatenation of its words, so words are encoded once and remembered. If it also
+    lowers letters and parts a word from the marks behind it, an unknown word is put
+    together from its lower-case stem and its marks. The memory has two generations of
+    bounded size; words of the older one move up when met again. Any other tokenizer
+    encodes whole texts.
     """
 
     def __init__(self, tokenizer_json: str):
@@ -40,27 +42,52 @@ class WordEncoder:
         self.tokenizer.no_padding()
         self.young: dict[str, bytes] = {}
         self.old: dict[str, bytes] = {}
-        probe = "it's one, \n two 3"
-        self.by_words = b"".join(self._library(probe.split())) == self._library([probe])[0]
+        self.by_words = self._splits("it's one, \n two 3", "it's one, \n two 3".split())
+        self.by_stems = self.by_words and all(
+            self._splits(word, [stem, marks])
+            for word, stem, marks in (("It's.", "it's", "."), ("Two3,", "two3", ","), ("aB!?...", "ab", "!?..."), ("É;", "É", ";"), ("7:", "7", ":"))
+        )
+
+    def _splits(self, text: str, parts: list[str]) -> bool:
+        return b"".join(self._library(parts)) == self._library([text])[0]
 
     def _library(self, texts: list[str]) -> list[bytes]:
-        encoded = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
-        return [np.array(e.ids, dtype="<u4").tobytes() for e in encoded]
-
-    def _learn(self, words: list[list[str]]) -> None:
-        known = self.young
-        missing = list({w for ws in words for w in ws if w not in known})
-        if len(known) + len(missing) > CACHE_WORDS:
-            self.old, self.young = known, {}
-            missing = list({w for ws in words for w in ws})
-        strange = []
-        for word in missing:
-            ids = self.old.get(word)
-            if ids is None:
-                strange.append(word)
-            else:
-                self.young[word] = ids
-        self.young.update(zip(strange, self._library(strange)))
+        encoded = [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+        flat = np.fromiter((i for ids in encoded for i in ids), "<u4").tobytes()
+        ends = list(accumulate(4 * len(ids) for ids in encoded))
+        return [flat[a:b] for a, b in zip([0, *ends], ends)]
+
+    def _stem(self, word: str) -> str:
+        stem = word.rstrip(_MARKS)
+        if not self.by_stems or not stem or not stem[-1].isalnum():
+            return word
+        return stem.lower() if stem.isascii() else stem
+
+    def _learn(self, words: set[str]) -> None:
+        """Enter words that are not in the young generation."""
+        if len(self.young) + 2 * len(words) > CACHE_WORDS:
+            self.old, self.young = self.young, {}
+        young, old = self.young, self.old
+        parts: dict[str, tuple[str, str]] = {}
+        strange: set[str] = set()
+        for word in words:
+            ids = old.get(word)
+            if ids is not None:
+                young[word] = ids
+                continue
+            stem = self._stem(word)
+            marks = word[len(stem) :]
+            parts[word] = stem, marks
+            for part in (stem, marks):
+                if part not in young:
+                    if part in old:
+                        young[part] = old[part]
+                    else:
+                        strange.add(part)
+        listed = list(strange)
+        young.update(zip(listed, self._library(listed)))
+        for word, (stem, marks) in parts.items():
+            young[word] = young[stem] + young[marks]
 
     def encode(self, texts: list[str]) -> Iterator[bytes]:
         """One value per text, in order; works through the texts in chunks of bounded size."""
@@ -72,19 +99,23 @@ class WordEncoder:
                 end += 1
             chunk = texts[start:end]
             start = end
-            if not self.by_words:
+            if not self.by_words or any(blank in text for text in chunk for blank in _ODD_BLANKS):
                 yield from self._library(chunk)
                 continue
-            words = [t.split() if not _ODD_BLANKS.search(t) else None for t in chunk]
-            self._learn([w for w in words if w])
-            young = self.young
-            for text, ws in zip(chunk, words):
-                if ws is None:
-                    yield self._library([text])[0]
-                elif len(ws) > 1:
-                    yield b"".join(itemgetter(*ws)(young))
-                else:
-                    yield young[ws[0]] if ws else b""
+            sizes, words = [], []
+            for text in chunk:
+                split = text.split()
+                sizes.append(len(split))
+                words += split
+            found = list(map(self.young.get, words))
+            if None in found:
+                self._learn({word for word, ids in zip(words, found) if ids is None})
+                # A generation may have ended; what was found before still holds.
+                found = [self.young[word] if ids is None else ids for word, ids in zip(words, found)]
+            at = 0
+            for n in sizes:
+                yield b"".join(found[at : at + n])
+                at += n
 
 
 @lru_cache(maxsize=2)
