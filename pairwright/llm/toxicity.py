@@ -1,24 +1,27 @@
 """Toxicity: misspelled lexicon terms by Levenshtein automata, weighed by their context.
 
-The lexicon is learned from labelled texts: words and word beginnings that occur in
-toxic texts and hardly elsewhere. It forms a trie. For a word of a text, the trie is
-walked together with the word's Levenshtein automaton (its state is one row of edit
-distances, transpositions included), and branches out of reach are left at once.
-Every distinct word is looked up once per worker.
-
-A hit inside quotation marks or after a word of saying counts as quoted. A logistic
-model over the hits of a text (exact, misspelled, quoted; by log-odds and density)
-gives the score.
-
-Defined results: a missing or empty text has no hits and the score of that; equal
-texts have equal scores. Ids, labels, language and source never enter a score;
-columns of the input other than id and text are not used by ``score``.
+The lexicon is learned from labelled texts: words that occur in toxic texts and hardly
+elsewhere. It forms a trie. The Levenshtein automata of all its terms, intersected with the
+trie, are one automaton: its states are sets of trie nodes with the edits spent so far, and
+a letter leads from set to set. States and their transitions are made when a word first
+needs them and kept, up to a bound; most words leave the automaton after a few letters.
+
+A hit inside a pair of quotation marks, opened before and closed after it within a window,
+or a few words after a word of saying counts as quoted. A logistic model over the hits of a
+text (exact, misspelled, quoted; by log-odds and density) gives the score.
+
+Defined results: a missing or empty text has no hits and the score of that; equal texts
+have equal scores. Of repeated or contradicting labels of one text the toxic one counts.
+Ids, labels, language and source never enter a score; columns of the input other than id
+and text are not used by ``score``. Without labelled texts of both kinds every text has the
+score of their share. An empty table has no rows.
 """
 
 from __future__ import annotations
 
 import math
 import re
+from bisect import bisect_right
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
@@ -36,67 +39,131 @@ LEXICON_TERMS = 1_000
 MIN_DOCUMENTS = 4
 MIN_SHARE = 0.015
 MIN_PRECISION = 0.9
-STEMS = (4, 5, 6)
-CACHE_WORDS = 200_000
+# Words remembered, and elements of automaton states: a few megabytes each.
+CACHE_WORDS = 30_000
+HELD_ELEMENTS = 300_000
 THRESHOLD = 0.3
 QUOTE_WORDS = 6
+QUOTE_CHARS = 300
 _WORD = re.compile(r"[^\W_]+(?:['’@$!*0-9][^\W_]+)*")
-_OPENING = frozenset("\"“„«‹'‘‚")
+# What stands between a pair of quotation marks, on one line and within a window.
+_QUOTED = re.compile(
+    "|".join(
+        rf"{opened}[^{opened}{closed}\n]{{1,{QUOTE_CHARS}}}[{closed}]"
+        for opened, closed in (('"', '"'), ("“", "”"), ("„", "“”"), ("«", "»"), ("»", "«"), ("‹", "›"), ("‘", "’"), ("‚", "‘’"))
+    )
+)
 _SAYING = frozenset("said says say wrote writes called calls quote quoted quotes word term sagte schrieb dit dijo escribió".split())
 
 
-class Trie:
-    """Lexicon terms; ``stem*`` entries stand for every word that begins with them."""
+def allowance(term: str) -> int:
+    """Edits by which a word may differ from a term; a swap of neighbouring letters is one."""
+    return 0 if len(term) < 5 else 1 if len(term) < 9 else 2
+
+
+class Automaton:
+    """All words within reach of a lexicon term, as a lazily made deterministic automaton.
+
+    An element of a state is a trie node and the edits spent to get there. Reading a letter
+    goes to the child of that letter, or spends an edit: stay (the letter is extra), go to
+    another child (it is wrong), or wait at a grandchild for the letter that was swapped.
+    Going to a child without reading (a letter is missing) closes every state. Of a node,
+    the cheapest element counts; one that spent more than any term below allows is dropped.
+    """
 
     def __init__(self, weights: dict[str, float]):
-        self.words = {t: w for t, w in weights.items() if not t.endswith("*")}
-        self.stems = {t[:-1]: w for t, w in weights.items() if t.endswith("*")}
-        self.stem_sizes = sorted({len(t) for t in self.stems}, reverse=True)
-        self.root: dict = {}
-        fuzzy = [t for t in self.words if len(t) >= 5]
-        for term in fuzzy:
-            node = self.root
-            for sign in term:
-                node = node.setdefault(sign, {})
-            node[""] = self.words[term]
-        self.heads, self.tails = {t[:2] for t in fuzzy}, {t[-2:] for t in fuzzy}
-        self.sizes = range(min(map(len, fuzzy), default=9) - 1, max(map(len, fuzzy), default=0) + 3)
+        self.children: list[dict[str, int]] = [{}]
+        self.reach = [0]
+        self.ends: dict[int, tuple[int, float]] = {}
+        for term, weight in weights.items():
+            node = 0
+            allowed = allowance(term)
+            self.reach[0] = max(self.reach[0], allowed)
+            for letter in term:
+                if letter not in self.children[node]:
+                    self.children[node][letter] = len(self.children)
+                    self.children.append({})
+                    self.reach.append(0)
+                node = self.children[node][letter]
+                self.reach[node] = max(self.reach[node], allowed)
+            self.ends[node] = allowed, weight
+        self.letters = {letter for child in self.children for letter in child}
+        self._forget()
+
+    def _forget(self) -> None:
+        self.numbers: dict[frozenset, int] = {frozenset(): 0}
+        self.states: list[frozenset] = [frozenset()]
+        self.steps: list[dict[str, int]] = [{}]
+        self.found: list[tuple[float, int] | None] = [None]
+        self.held = 0
+        self.start = self._state({(0, ""): 0})
+
+    def _state(self, elements: dict[tuple[int, str], int]) -> int:
+        """Number of the state with these elements, ``{(node, letter waited for): edits}``, once closed."""
+        todo = list(elements.items())
+        while todo:
+            (node, waits), edits = todo.pop()
+            if waits or edits >= self.reach[node] or elements[node, waits] < edits:
+                continue
+            for child in self.children[node].values():
+                if edits + 1 <= self.reach[child] and elements.get((child, ""), 9) > edits + 1:
+                    elements[child, ""] = edits + 1
+                    todo.append(((child, ""), edits + 1))
+        state = frozenset(elements.items())
+        number = self.numbers.get(state)
+        if number is None:
+            number = self.numbers[state] = len(self.states)
+            self.states.append(state)
+            self.steps.append({})
+            self.found.append(self._best(state))
+            self.held += len(state) + 4
+        return number
+
+    def _best(self, state: frozenset) -> tuple[float, int] | None:
+        """Weight and edits of the nearest term, the heavier one on ties."""
+        hits = [
+            (edits, -self.ends[node][1]) for (node, waits), edits in state
+            if not waits and node in self.ends and edits <= self.ends[node][0]
+        ]
+        return (-min(hits)[1], min(hits)[0]) if hits else None
+
+    def _step(self, number: int, letter: str) -> int:
+        after: dict[tuple[int, str], int] = {}
+
+        def enter(node: int, waits: str, edits: int) -> None:
+            if edits <= self.reach[node] and after.get((node, waits), 9) > edits:
+                after[node, waits] = edits
+
+        for (node, waits), edits in self.states[number]:
+            if waits:
+                if waits == letter:
+                    enter(node, "", edits)
+                continue
+            enter(node, "", edits + 1)
+            for other, child in self.children[node].items():
+                enter(child, "", edits + (other != letter))
+                if other != letter and letter in self.children[child]:
+                    enter(self.children[child][letter], other, edits + 1)
+        return self._state(after) if after else 0
 
     def match(self, word: str) -> tuple[float, int] | None:
-        """Weight and distance of the nearest term within its allowance, the heavier one on ties.
-
-        Terms of 5 to 8 letters may be off by one edit, longer ones by two, as long as
-        the first two or the last two letters stand (one edit of a term of six letters
-        or more always leaves one of them); shorter terms and stems have to be exact.
-        """
-        weight = self.words.get(word)
-        if weight is not None:
-            return weight, 0
-        for size in self.stem_sizes:
-            weight = self.stems.get(word[:size])
-            if weight is not None and len(word) > size:
-                return weight, 0
-        n = len(word)
-        if n not in self.sizes or (word[:2] not in self.heads and word[-2:] not in self.tails):
-            return None
-        best, allowed = None, 2
-        stack = [(sign, child, tuple(range(n + 1)), None, "", 0) for sign, child in self.root.items()]
-        while stack:
-            sign, node, above, over, previous, depth = stack.pop()
-            row = [depth + 1]
-            for i in range(1, n + 1):
-                cost = min(row[i - 1] + 1, above[i] + 1, above[i - 1] + (word[i - 1] != sign))
-                if over is not None and i > 1 and word[i - 1] == previous and word[i - 2] == sign:
-                    cost = min(cost, over[i - 2] + 1)
-                row.append(cost)
-            weight = node.get("")
-            if weight is not None and row[n] <= (1 if depth < 8 else 2):
-                found = (weight, row[n])
-                if best is None or (found[1], -found[0]) < (best[1], -best[0]):
-                    best = found
-            if min(row) <= allowed:
-                stack.extend((s, child, tuple(row), above, sign, depth + 1) for s, child in node.items() if s)
-        return best
+        """Weight and distance of the nearest term whose allowance the word keeps."""
+        if self.held > HELD_ELEMENTS:
+            self._forget()
+        number, steps = self.start, self.steps
+        for letter in word:
+            after = steps[number].get(letter)
+            if after is None:
+                # Letters of no term are all alike; they are not entered one by one.
+                known = letter if letter in self.letters else ""
+                after = steps[number].get(known)
+                if after is None:
+                    after = steps[number][known] = self._step(number, known)
+                    self.held += 1
+            if not after:
+                return None
+            number = after
+        return self.found[number]
 
 
 FEATURES = ("exact", "misspelled", "quoted", "kinds", "density", "none")
@@ -106,7 +173,7 @@ class Scanner:
     """Finds hits in texts; remembers words across texts, up to a bound."""
 
     def __init__(self, weights: dict[str, float]):
-        self.trie = Trie(weights)
+        self.automaton = Automaton(weights)
         self.words: dict[str, tuple[float, int] | None] = {}
 
     def hits(self, text: str) -> list[tuple[int, int, str, float, int, bool]]:
@@ -120,17 +187,20 @@ class Scanner:
             known.clear()
             strange = set(words)
         for word in strange:
-            known[word] = self.trie.match(word)
+            known[word] = self.automaton.match(word)
         if not any(map(known.get, words)):
             return out
         spans = list(_WORD.finditer(lowered))
+        quotes = [m.span() for m in _QUOTED.finditer(text)]
+        ends = [b for _, b in quotes]
         for place, span in enumerate(spans):
             found = known[span.group()]
             if found is not None:
                 first = max(0, place - QUOTE_WORDS)
                 before = {s.group() for s in spans[first:place]}
-                opened = span.start() > 0 and text[span.start() - 1] in _OPENING
-                out.append((span.start(), span.end(), span.group(), *found, opened or bool(before & _SAYING)))
+                around = bisect_right(ends, span.start())
+                inside = around < len(quotes) and quotes[around][0] < span.start()
+                out.append((span.start(), span.end(), span.group(), *found, inside or bool(before & _SAYING)))
         return out
 
     def features(self, text: str) -> list[float]:
@@ -171,11 +241,9 @@ def learn_lexicon(texts: DataFrame) -> dict[str, float]:
     """Terms by how much likelier they are in toxic texts: log-odds of document frequencies.
 
     ``texts`` has ``text, label`` with distinct texts. A term must occur in a few
-    toxic texts and in far fewer others; words and word beginnings compete.
+    toxic texts and in far fewer others.
     """
-    words = F.array_distinct(F.regexp_extract_all(F.lower("text"), F.lit(r"(?U)[^\W_]+"), F.lit(0)))
-    stems = [F.transform(F.filter(words, lambda w, n=n: F.length(w) > n), lambda w, n=n: F.concat(F.substring(w, 1, n), F.lit("*"))) for n in STEMS]
-    terms = F.explode(F.array_distinct(F.concat(words, *stems)))
+    terms = F.explode(F.array_distinct(F.regexp_extract_all(F.lower("text"), F.lit(r"(?U)[^\W_]+"), F.lit(0))))
     sizes = texts.agg(F.sum("label").alias("toxic"), F.count(F.lit(1)).alias("all")).first()
     toxic, clean = sizes.toxic or 0, sizes["all"] - (sizes.toxic or 0)
     if not toxic or not clean:
@@ -211,7 +279,9 @@ def fit(docs: DataFrame, labels: DataFrame, max_rows: int = TRAINING_ROWS) -> To
     )
     chosen = materialize(chosen)
     texts = docs.where(F.col("text").isNotNull()).join(F.broadcast(chosen), "doc_id").select("text", "label")
-    texts = materialize(texts.groupBy("text").agg(F.max("label").alias("label")))
+    # Repeated ids may bring more texts than labels: the bound holds for texts as well.
+    texts = texts.groupBy("text").agg(F.max("label").alias("label")).orderBy(F.xxhash64("text"), "text").limit(max_rows)
+    texts = materialize(texts)
     lexicon = learn_lexicon(texts)
     described = texts.select("text", "label").mapInArrow(_describer(lexicon), "label int, features array<double>").collect()
     if not lexicon or len({r.label for r in described}) < 2:
@@ -225,7 +295,7 @@ def _describer(lexicon: dict[str, float]):
     def describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         scanner = Scanner(lexicon)
         for batch in batches:
-            rows = [scanner.features(t) for t in batch.column(0).to_pylist()]
+            rows = [scanner.features(t.as_py()) for t in batch.column(0)]
             yield pa.RecordBatch.from_arrays([batch.column(1), pa.array(rows, pa.list_(pa.float64()))], names=["label", "features"])
 
     return describe
@@ -256,12 +326,11 @@ def score(docs: DataFrame, model: ToxicityModel, with_hits: bool = False) -> Dat
         scanner = _scanner(shared.value.weights)
         beta, intercept = np.array(shared.value.coefficients), shared.value.intercept
         for batch in batches:
-            texts = batch.column(1).to_pylist()
-            rows = np.array([scanner.features(t) for t in texts]).reshape(len(texts), len(FEATURES))
+            rows = np.array([scanner.features(t.as_py()) for t in batch.column(1)]).reshape(-1, len(FEATURES))
             scores = 1 / (1 + np.exp(-np.clip(rows @ beta + intercept, -30, 30)))
             arrays, names = [batch.column(0), pa.array(scores)], ["doc_id", "score"]
             if with_hits:
-                found = [[dict(zip(("start", "end", "word", "weight", "distance", "quoted"), h)) for h in scanner.hits(t)] for t in texts]
+                found = [[dict(zip(("start", "end", "word", "weight", "distance", "quoted"), h)) for h in scanner.hits(t.as_py())] for t in batch.column(1)]
                 arrays.append(pa.array(found, kind))
                 names.append("hits")
             yield pa.RecordBatch.from_arrays(arrays, names=names)
@@ -279,7 +348,7 @@ def reject(docs: DataFrame, model: ToxicityModel, threshold: float = THRESHOLD)
         beta, intercept = np.array(shared.value.coefficients), shared.value.intercept
         limit = math.log(threshold / (1 - threshold))
         for batch in batches:
-            rows = np.array([scanner.features(t or "") for t in batch.column(place).to_pylist()]).reshape(-1, len(FEATURES))
+            rows = np.array([scanner.features(t.as_py() or "") for t in batch.column(place)]).reshape(-1, len(FEATURES))
             yield batch.filter(pa.array(rows @ beta + intercept < limit))
 
     return docs.mapInArrow(keep, docs.schema)

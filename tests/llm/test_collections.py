@@ -116,17 +116,61 @@ def test_neighbours(spark):
     assert ann.nearest(table.limit(0), F.lit(True)).count() == 0
 
 
-def test_trie_catches_misspellings():
-    trie = toxicity.Trie({"idiot": 5.0, "worthless": 4.0, "lowei*": 3.0, "bad": 2.0})
-    assert trie.match("idiot") == (5.0, 0) and trie.match("idoit") == (5.0, 1) and trie.match("idi0t") == (5.0, 1)
-    assert trie.match("worthles") == (4.0, 1) and trie.match("wortless") == (4.0, 1) and trie.match("loweisch") == (3.0, 0)
-    assert trie.match("bat") is None and trie.match("worth") is None and trie.match("") is None
+def edits(a, b):
+    """Edit distance where a swap of neighbouring letters is one edit."""
+    d = [[max(i, j) for j in range(len(b) + 1)] for i in range(len(a) + 1)]
+    for i in range(1, len(a) + 1):
+        for j in range(1, len(b) + 1):
+            d[i][j] = min(d[i - 1][j] + 1, d[i][j - 1] + 1, d[i - 1][j - 1] + (a[i - 1] != b[j - 1]))
+            if i > 1 and j > 1 and a[i - 1] == b[j - 2] and a[i - 2] == b[j - 1]:
+                d[i][j] = min(d[i][j], d[i - 2][j - 2] + 1)
+    return d[-1][-1]
+
+
+def misspelled(rnd, word):
+    for _ in range(rnd.randrange(4)):
+        i, kind = rnd.randrange(len(word) + 1), rnd.randrange(4)
+        if kind == 0:
+            word = word[:i] + rnd.choice("abcdez") + word[i:]
+        elif kind == 1:
+            word = word[:i] + word[i + 1 :]
+        elif kind == 2:
+            word = word[:i] + rnd.choice("abcdez") + word[i + 1 :]
+        else:
+            word = word[:i] + word[i : i + 2][::-1] + word[i + 2 :]
+    return word
+
+
+@pytest.mark.parametrize("held", [300_000, 200])
+def test_automaton_equals_edit_distance(monkeypatch, held):
+    monkeypatch.setattr(toxicity, "HELD_ELEMENTS", held)
+    rnd = random.Random(2)
+    lexicon = {"".join(rnd.choices("abcde", k=rnd.randrange(2, 13))): rnd.random() for _ in range(50)}
+    automaton = toxicity.Automaton(lexicon)
+    words = [misspelled(rnd, rnd.choice(list(lexicon))) for _ in range(1500)] + ["", "a", "zzzzzz", "abcdeabcdeabcde"]
+    hits = 0
+    for word in words:
+        near = [(edits(word, t), -w) for t, w in lexicon.items()]
+        near = [n for n, t in zip(near, lexicon) if n[0] <= toxicity.allowance(t)]
+        assert automaton.match(word) == ((-min(near)[1], min(near)[0]) if near else None), word
+        hits += bool(near)
+    assert hits > 500 and toxicity.Automaton({}).match("idiot") is None
+
+
+def test_both_ends_of_a_word_may_be_wrong():
+    automaton = toxicity.Automaton({"idiot": 5.0, "worthless": 4.0, "bad": 2.0})
+    assert automaton.match("idoit") == (5.0, 1) and automaton.match("1diot") == (5.0, 1) and automaton.match("xorthlesx") == (4.0, 2)
+    assert automaton.match("1dio7") is None and automaton.match("bat") is None and automaton.match("bad") == (2.0, 0)
 
 
 def test_quotation_lowers_hits():
     scanner = toxicity.Scanner({"idiot": 5.0})
-    assert [h[-1] for h in scanner.hits('you idiot. he said idiot and "idiot"')] == [False, True, True]
-    assert scanner.hits("") == []
+    quoted = lambda text: [h[-1] for h in scanner.hits(text)]
+    assert quoted('you idiot. he said idiot and "idiot"') == [False, True, True]
+    assert quoted('he was told "you are such an idiot" and left, the idiot') == [True, False]
+    assert quoted("„so ein Idiot“ und «idiot» ‘idiot’ “idiot") == [True, True, True, False]
+    assert quoted('a "b" idiot "c"') == [False] and quoted('"idiot\nidiot"') == [False, False]
+    assert scanner.hits("") == [] and len(scanner.hits("idiot " * 50_000)) == 50_000
 
 
 @needs_data
