@@ -281,7 +281,7 @@ def write_ids(docs: DataFrame, tokenizer_json: str, path: str) -> None:
                 yield pa.RecordBatch.from_arrays([pa.array([v], t) for v, t in zip(row, types)], names=names)
 
         for batch in batches:
-            for doc_id, ids in zip(batch.column(0).to_pylist(), encode(batch.column(1).to_pylist())):
+            for doc_id, ids in zip(batch.column(0).to_pylist(), encode(batch.column(1))):
                 values = np.frombuffer(ids + end, dtype="<u4")
                 if values.max() > 0xFFFF:
                     raise ValueError("ids of more than 16 bits are not supported")

@@ -48,7 +48,7 @@ def tokenize_pieces(docs: DataFrame, tokenizer_json: str, capacity: int = SEQUEN
         seen = [0] * (capacity + 1)
         for batch in batches:
             columns: list[list] = [[] for _ in range(7 + keep_ids)]
-            for doc_id, ids in zip(batch.column(0).to_pylist(), encode(batch.column(1).to_pylist())):
+            for doc_id, ids in zip(batch.column(0).to_pylist(), encode(batch.column(1))):
                 ids += end
                 total = len(ids) // 4
                 for piece, start in enumerate(range(0, total, capacity)):

@@ -3,17 +3,34 @@
 from __future__ import annotations
 
 import os
+import re
 from collections.abc import Iterator
 from functools import lru_cache
 from itertools import accumulate
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 
-CACHE_WORDS = 400_000
-CHUNK_CHARS = 1_000_000
-# Blanks for Python but not for tokenizers: chunks with them are encoded whole.
-_ODD_BLANKS = "\x1c\x1d\x1e\x1f"
+CACHE_WORDS = 500_000
+CHUNK_BYTES = 4_000_000
 _MARKS = ".,;:!?"
+_LATIN = re.compile("[A-Za-zÀ-ÖØ-Þß-öø-ÿ]+").fullmatch
+_PLAIN = re.compile("[a-zß-öø-ÿ]+").fullmatch
+
+
+def _byte_signs() -> dict[int, str]:
+    """Latin letters as the signs that byte-level tokenizers write for their bytes.
+
+    Bytes that print stand for themselves; the others are numbered from 256 on.
+    """
+    printing = {*range(33, 127), *range(161, 173), *range(174, 256)}
+    others = [b for b in range(256) if b not in printing]
+    sign = {b: chr(b) if b in printing else chr(256 + others.index(b)) for b in range(256)}
+    return {c: "".join(sign[b] for b in chr(c).encode()) for c in range(0xDF, 0x100)}
+
+
+_BYTE_SIGNS = _byte_signs()
 
 
 def read_file(path: str) -> str:
@@ -48,6 +65,14 @@ class WordEncoder:
             for word, stem, marks in (("It's.", "it's", "."), ("Two3,", "two3", ","), ("aB!?...", "ab", "!?..."), ("É;", "É", ";"), ("7:", "7", ":"))
         )
 
+        sample = [*"abcdefghijklmnopqrstuvwxyzßàéîöøÿ", "straße", "therenon", "élève", "ñqueez", "lowerings", "übermäßig"]
+        self.by_model = self.by_stems and hasattr(self.tokenizer.model, "tokenize") and self._modelled(sample) == self._library(sample)
+
+    def _modelled(self, words: list[str]) -> list[bytes]:
+        """Lower-case Latin words straight from the merges: nothing else of the tokenizer changes them."""
+        tokenize = self.tokenizer.model.tokenize
+        return [b"".join([t.id.to_bytes(4, "little") for t in tokenize(w.translate(_BYTE_SIGNS))]) for w in words]
+
     def _splits(self, text: str, parts: list[str]) -> bool:
         return b"".join(self._library(parts)) == self._library([text])[0]
 
@@ -59,9 +84,10 @@ class WordEncoder:
 
     def _stem(self, word: str) -> str:
         stem = word.rstrip(_MARKS)
-        if not self.by_stems or not stem or not stem[-1].isalnum():
+        # Some capitals end in a mark of their own when lowered.
+        if not self.by_stems or not stem or not stem.lower()[-1].isalnum():
             return word
-        return stem.lower() if stem.isascii() else stem
+        return stem.lower() if _LATIN(stem) else stem
 
     def _learn(self, words: set[str]) -> None:
         """Enter words that are not in the young generation."""
@@ -69,53 +95,69 @@ class WordEncoder:
             self.old, self.young = self.young, {}
         young, old = self.young, self.old
         parts: dict[str, tuple[str, str]] = {}
+        plain: list[str] = []
         strange: set[str] = set()
         for word in words:
             ids = old.get(word)
             if ids is not None:
                 young[word] = ids
-                continue
-            stem = self._stem(word)
-            marks = word[len(stem) :]
-            parts[word] = stem, marks
-            for part in (stem, marks):
-                if part not in young:
-                    if part in old:
-                        young[part] = old[part]
-                    else:
-                        strange.add(part)
-        listed = list(strange)
+            elif self.by_model and _PLAIN(word):
+                plain.append(word)
+            else:
+                stem = self._stem(word)
+                parts[word] = stem, word[len(stem) :]
+                strange.update(parts[word])
+        young.update(zip(plain, self._modelled(plain)))
+        strange = {part for part in strange if part not in young}
+        known = {part: old[part] for part in strange if part in old}
+        young.update(known)
+        plain = [part for part in strange if part not in known and self.by_model and _PLAIN(part)]
+        young.update(zip(plain, self._modelled(plain)))
+        listed = [part for part in strange if part not in young]
         young.update(zip(listed, self._library(listed)))
         for word, (stem, marks) in parts.items():
             young[word] = young[stem] + young[marks]
 
-    def encode(self, texts: list[str]) -> Iterator[bytes]:
+    def encode(self, texts: pa.Array | list[str]) -> Iterator[bytes]:
         """One value per text, in order; works through the texts in chunks of bounded size."""
+        column = pa.array(texts, pa.string()) if isinstance(texts, list) else texts
+        sizes = pc.binary_length(column).to_pylist()
         start = 0
-        while start < len(texts):
+        while start < len(sizes):
             end, size = start, 0
-            while end < len(texts) and (end == start or size + len(texts[end]) <= CHUNK_CHARS):
-                size += len(texts[end])
+            while end < len(sizes) and (end == start or size + sizes[end] <= CHUNK_BYTES):
+                size += sizes[end]
                 end += 1
-            chunk = texts[start:end]
+            chunk = column.slice(start, end - start)
             start = end
-            if not self.by_words or any(blank in text for text in chunk for blank in _ODD_BLANKS):
-                yield from self._library(chunk)
-                continue
-            sizes, words = [], []
-            for text in chunk:
-                split = text.split()
-                sizes.append(len(split))
-                words += split
-            found = list(map(self.young.get, words))
-            if None in found:
-                self._learn({word for word, ids in zip(words, found) if ids is None})
-                # A generation may have ended; what was found before still holds.
-                found = [self.young[word] if ids is None else ids for word, ids in zip(words, found)]
-            at = 0
-            for n in sizes:
-                yield b"".join(found[at : at + n])
-                at += n
+            if self.by_words:
+                yield from self._words(chunk)
+            else:
+                yield from self._library(chunk.to_pylist())
+
+    def _words(self, chunk: pa.Array) -> Iterator[bytes]:
+        """Texts of a chunk by way of its distinct words."""
+        # At other blanks than these a word stays whole and the tokenizer parts it.
+        split = pc.ascii_split_whitespace(chunk)
+        coded = split.values.dictionary_encode()
+        words = coded.dictionary.to_pylist()
+        found = list(map(self.young.get, words))
+        if None in found:
+            self._learn({word for word, ids in zip(words, found) if ids is None})
+            # A generation may have ended; what was found before still holds.
+            found = [self.young[word] if ids is None else ids for word, ids in zip(words, found)]
+        lengths = np.fromiter(map(len, found), np.int32, len(found)) // 4
+        ids = np.frombuffer(b"".join(found), "<u4")
+        first = np.cumsum(lengths, dtype=np.int32) - lengths
+        places = coded.indices.to_numpy(zero_copy_only=False)
+        own = lengths[places]
+        ends = np.zeros(len(own) + 1, np.int32)
+        np.cumsum(own, out=ends[1:])
+        taken = np.repeat(first[places] - ends[:-1], own) + np.arange(ends[-1], dtype=np.int32)
+        flat = memoryview(ids[taken].tobytes())
+        bounds = (4 * ends[split.offsets.to_numpy()].astype(np.int64)).tolist()
+        for a, b in zip(bounds, bounds[1:]):
+            yield bytes(flat[a:b])
 
 
 @lru_cache(maxsize=2)
