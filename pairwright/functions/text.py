@@ -69,6 +69,11 @@ def replace_pattern(c: Column, pattern: str, replacement: str = " ", ignore_case
     )
 
 
+def word_runs(unicode_edges: bool) -> str:
+    """Pattern of the maximal runs that :func:`remove_words` looks up, and of what lies between."""
+    return r"(?U)[\w-]+|[^\w-]+" if unicode_edges else r"[A-Za-z0-9-]+|[^A-Za-z0-9-]+"
+
+
 def remove_words(c: Column, vocabulary: Iterable[str], unicode_edges: bool = False) -> Column:
     """Replace whole vocabulary words by a space, ignoring case.
 
@@ -83,8 +88,7 @@ def remove_words(c: Column, vocabulary: Iterable[str], unicode_edges: bool = Fal
         raise ValueError(f"not plain words, use a pattern rule instead: {odd[:5]}")
     if not terms:
         return c
-    run = r"(?U)[\w-]+|[^\w-]+" if unicode_edges else r"[A-Za-z0-9-]+|[^A-Za-z0-9-]+"
-    pieces = F.regexp_extract_all(c, F.lit(run), F.lit(0))
+    pieces = F.regexp_extract_all(c, F.lit(word_runs(unicode_edges)), F.lit(0))
     kept = F.transform(pieces, lambda z: F.when(F.lower(z).isin(terms), F.lit(" ")).otherwise(z))
     return F.array_join(kept, "")
 
@@ -101,7 +105,7 @@ def translate_terms(c: Column, dictionary: Mapping[str, str]) -> Column:
     if odd:
         raise ValueError(f"dictionary terms must be words or space-separated words: {odd[:5]}")
     if len(terms) > MAX_LITERAL_TERMS:
-        raise ValueError(f"dictionary has {len(terms)} terms, at most {MAX_LITERAL_TERMS} fit an expression")
+        raise ValueError(f"dictionary has {len(terms)} terms, more than fit an expression: use translate_by_table")
     if not terms:
         return c
     phrases = sorted((k for k in terms if " " in k), key=len, reverse=True)

@@ -27,6 +27,20 @@ def block_sizes(rows: DataFrame, keys: Sequence[str]) -> DataFrame:
     )
 
 
+def with_block_facts(blocks: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Records of a table bucketed by ``block_id`` with ``block_rows`` and ``first_id`` of their block.
+
+    Both the grouping and the join find the rows where they are.
+    """
+    own = F.struct(*keys)
+    facts = blocks.groupBy("block_id", own.alias("own")).agg(F.count(F.lit(1)).alias("block_rows"), F.min("id").alias("first_id"))
+    # One entry per block of the same hash, nearly always a single one, so that block_id alone joins.
+    listed = facts.groupBy("block_id").agg(F.collect_list(F.struct("own", "block_rows", "first_id")).alias("facts"))
+    fact = F.get(F.filter("facts", lambda f: f["own"].eqNullSafe(own)), F.lit(0))
+    joined = blocks.hint("merge").join(listed.hint("merge"), "block_id")
+    return joined.select("id", *keys, fact["block_rows"].alias("block_rows"), fact["first_id"].alias("first_id"))
+
+
 def block_pairs(rows: DataFrame, keys: Sequence[str], tile_rows: int = TILE_ROWS) -> DataFrame:
     """Every unordered pair of ids inside each block, ``lid < rid``.
 

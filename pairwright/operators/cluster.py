@@ -179,3 +179,19 @@ def expand_pairs(clusters: DataFrame, tile_rows: int = TILE_ROWS) -> DataFrame:
         .where("lid < rid")
         .select("lid", "rid")
     )
+
+
+def open_components(pairs: DataFrame) -> DataFrame:
+    """Components of a pair table that lack transitive pairs: ``(cluster_id, members, pairs, missing)``.
+
+    A component of n members is closed when it has n(n-1)/2 different pairs, so counting
+    per component tells, and nothing missing is listed. Turned, repeated, incomplete and
+    self-pairs do not count.
+    """
+    clean = pairs.where("lid <> rid").select(F.least("lid", "rid").alias("lid"), F.greatest("lid", "rid").alias("rid"))
+    distinct = materialize(clean.distinct())
+    labels = connected_components(distinct)
+    placed = lookup(distinct.select("lid"), "lid", labels, "cluster_id")
+    counted = placed.groupBy(F.col("lid").alias("cluster_id")).agg(F.count(F.lit(1)).alias("pairs"))
+    sizes = cluster_sizes(labels).join(counted, "cluster_id").where(F.col("pairs") < F.col("closed_pairs"))
+    return sizes.select("cluster_id", "members", "pairs", (F.col("closed_pairs") - F.col("pairs")).alias("missing"))

@@ -17,6 +17,7 @@ from ..functions.text import (
     translate_terms,
 )
 from ..rules import StopGroup
+from .vocabulary import translate_by_table
 
 MISSING_TEXT = "nan"
 
@@ -69,23 +70,30 @@ def normalize_unstructured(
 
 
 def normalize_structured(
-    products: DataFrame, dictionary: Mapping[str, str], stop_groups: Iterable[StopGroup]
+    products: DataFrame, dictionary: Mapping[str, str] | DataFrame, stop_groups: Iterable[StopGroup]
 ) -> DataFrame:
     """Clean ``name`` and ``description``, add their concatenation as ``title``.
 
-    ``brand`` is renamed to ``companies``, the name it has as a blocking key.
+    ``brand`` is renamed to ``companies``, the name it has as a blocking key. A
+    dictionary given as a table ``(term, replacement)`` may have any size; ids must then
+    be unique.
     """
     groups = tuple(stop_groups)
-
-    def filled(column: str) -> Column:
-        return translate_and_sort(F.coalesce(F.col(column).cast("string"), F.lit("")), dictionary)
+    texts = ("name", "description")
+    products = products.withColumns({c: F.coalesce(F.col(c).cast("string"), F.lit("")) for c in texts})
+    if isinstance(dictionary, DataFrame):
+        for c in texts:
+            products = translate_by_table(products, c, dictionary)
+        translated = {c: token_set_text(F.col(c)) for c in texts}
+    else:
+        translated = {c: translate_and_sort(F.col(c), dictionary) for c in texts}
 
     def finished(c: Column) -> Column:
         return collapse_whitespace(remove_stop_groups(c, groups, unicode_edges=True))
 
     return (
-        products.withColumn("name", finished(filled("name")))
-        .withColumn("description", finished(normalize_units(filled("description"))))
+        products.withColumn("name", finished(translated["name"]))
+        .withColumn("description", finished(normalize_units(translated["description"])))
         .withColumn("title", F.concat(F.col("name"), F.lit(" "), F.col("description")))
         .withColumnRenamed("brand", "companies")
     )

@@ -16,10 +16,12 @@ from ..functions.text import (
     translate_terms,
 )
 from ..operators import blocking, evaluate, profile
+from ..operators.blocking import with_block_facts
 from ..operators.cluster import (
     cluster_members,
     cluster_sizes,
     connected_components,
+    open_components,
     with_singletons,
 )
 from ..operators.keys import (
@@ -50,9 +52,11 @@ from ..operators.normalize import (
     normalize_unstructured,
     translate_and_sort,
 )
+from ..operators.vocabulary import translate_by_table
 from ..session import materialize, scratch_path
-from ..sources.sinks import write_pairs
-from ..sources.tables import first_by_id, read_results, truth_pairs
+from ..sources import store
+from ..sources.sinks import write_bucketed_blocks, write_outcome, write_pairs, write_table
+from ..sources.tables import STRUCTURED_SCHEMA, first_by_id, read_products_checked, read_results, truth_pairs
 from . import oracle as o
 from . import pipelines as run
 from . import views as v
@@ -63,6 +67,7 @@ QUERIES: dict[str, Query] = {}
 ORACLES: dict[str, str] = {}
 
 READ_LIMIT = 500
+BROKEN_EVERY = 50
 DOCUMENT_KEYS = ("lang",)
 STRICT = Threshold(0.85)
 MEASURES = ("price_diff", "price_rel_diff", "brand_match", "name_token_overlap", "description_token_overlap")
@@ -123,6 +128,43 @@ def result_roundtrip(spark, sf):
     return read_results(spark, path)[0]
 
 
+@query(
+    "SELECT CAST(p_partkey AS BIGINT) AS id, p_name AS name, p_retailprice AS price, p_type AS description, 0 AS broken "
+    f"FROM part WHERE p_partkey % {BROKEN_EVERY} <> 0 "
+    f"UNION ALL SELECT NULL, NULL, NULL, NULL, count(*) FROM part WHERE p_partkey % {BROKEN_EVERY} = 0"
+)
+def csv_products(spark, sf):
+    """Products written and read as CSV, some with a price that is no number: rows, and a count of broken lines."""
+    price = F.when(F.col("id") % BROKEN_EVERY == 0, "on request").otherwise(F.col("price").cast("string"))
+    path = scratch_path(spark)
+    write_table(v.part(spark, sf).select("id", "name", price.alias("price"), "description"), path)
+    good, bad = read_products_checked(spark, path, STRUCTURED_SCHEMA)
+    rows = good.select("id", "name", "price", "description", F.lit(0).cast("long").alias("broken"))
+    return rows.unionByName(bad.agg(F.count(F.lit(1)).alias("broken")), allowMissingColumns=True)
+
+
+@query(f"SELECT lid, rid FROM ({v.REPORTED_SQL})")
+def stored_result(spark, sf):
+    """Pairs committed with their settings, found up to date, and read by the manifest."""
+    path, settings = scratch_path(spark), {"read_limit": None, "dataset": "documents"}
+    for _ in range(2):
+        manifest, computed = store.up_to_date(spark, path, settings, lambda: {"pairs": v.reported_pairs(spark, sf)})
+    if computed or store.damaged(spark, manifest):
+        raise RuntimeError("a result that was just committed is not up to date")
+    return store.read_table(spark, manifest, "pairs")
+
+
+@query(f"SELECT lid, rid, 'false_negative' AS outcome FROM ({v.KNOWN_SQL}) ANTI JOIN ({v.REPORTED_SQL}) r USING (lid, rid)")
+def outcome_partition(spark, sf):
+    """One outcome of a partitioned table, after another one was replaced."""
+    path = scratch_path(spark)
+    known, found = v.known_pairs(spark, sf), v.reported_pairs(spark, sf)
+    write_outcome(evaluate.false_negatives(known, found), "false_negative", path)
+    for _ in range(2):
+        write_outcome(evaluate.true_positives(known, found), "true_positive", path)
+    return spark.read.parquet(path).where("outcome = 'false_negative'").select("lid", "rid", "outcome")
+
+
 # --- text -----------------------------------------------------------------------------
 
 STOP_WORDS = ("the", "and", "of", "de", "la", "der", "und", "que")
@@ -171,6 +213,17 @@ def token_set(spark, sf):
     return turns.select("conv_id", "turn", token_set_text(F.col("text")).alias("tokens"))
 
 
+@query(
+    "SELECT p_partkey AS id, replace(n.name, p_name, terms.replacement) AS name "
+    f"FROM part JOIN ({v.STORAGE_SQL}) n ON id = p_partkey "
+    "JOIN (SELECT p_name AS term, max(lower(p_type)) AS replacement FROM part GROUP BY p_name) terms ON p_name = term"
+)
+def translate_by_dictionary_table(spark, sf):
+    """Product names translated by a dictionary that is a table: here, part names to their types."""
+    terms = v.part(spark, sf).select(F.col("name").alias("term"), F.lower("description").alias("replacement"))
+    return translate_by_table(v.storage(spark, sf).select("id", "name"), "name", terms)
+
+
 @query(
     f"SELECT id, {o.mapped(o.mapped('description', fixed.SPEED_MAPPING), fixed.SPEED_MAPPING)} AS description "
     f"FROM ({v.STORAGE_SQL})"
@@ -252,6 +305,19 @@ def block_candidates(spark, sf):
     return blocking.block_sizes(blocking_unstructured(spark, sf), UNSTRUCTURED_KEYS)
 
 
+@query(
+    f"""WITH k AS ({LAPTOP_KEYS_SQL})
+SELECT id, companies, intel_cpu, count(*) OVER (PARTITION BY companies, intel_cpu) AS block_rows,
+       min(id) OVER (PARTITION BY companies, intel_cpu) AS first_id FROM k"""
+)
+def bucketed_blocks(spark, sf):
+    """Records joined with their blocks' sizes and first records, in a table bucketed by block."""
+    path, keys = scratch_path(spark), ("companies", "intel_cpu")
+    table = "blocks_" + path.rsplit("/", 1)[-1]
+    blocks = blocking_unstructured(spark, sf).select("id", *keys)
+    return with_block_facts(write_bucketed_blocks(blocks, keys, table, path, 8), keys)
+
+
 ADAPTIVE_ROWS = 100
 
 
@@ -442,6 +508,18 @@ def cluster_pairs(spark, sf):
     return cluster_sizes(connected_components(v.reported_pairs(spark, sf)))
 
 
+@query(
+    f"""WITH RECURSIVE p AS (SELECT DISTINCT least(lid, rid) AS lid, greatest(lid, rid) AS rid FROM ({v.REPORTED_SQL})),
+{o.closed('p', 'labels')}, sizes AS (SELECT cluster_id, count(*) AS members FROM labels GROUP BY cluster_id),
+held AS (SELECT cluster_id, count(*) AS pairs FROM p JOIN labels ON lid = id GROUP BY cluster_id)
+SELECT cluster_id, members, pairs, members * (members - 1) // 2 - pairs AS missing
+FROM sizes JOIN held USING (cluster_id) WHERE pairs < members * (members - 1) // 2"""
+)
+def closure_check(spark, sf):
+    """Components of the reported pairs that are not transitively closed."""
+    return open_components(v.reported_pairs(spark, sf))
+
+
 # --- evaluation -----------------------------------------------------------------------
 
 

@@ -26,19 +26,19 @@ PRODUCT_STOP_GROUPS = (
 STORAGE_STOP_GROUPS = (StopGroup(("with", "for", "the", "fast")), StopGroup(("up", "original")))
 DICTIONARY = {
     "carte memoire": "memory card",
-    "speicherkarte": "memory card",
-    "tarjeta": "card",
-    "memoria": "memory",
-    "schnell": "fast",
+    "merkplatte": "memory card",
+    "lamina": "card",
+    "recuerdo": "memory",
+    "flink": "fast",
     "rapide": "fast",
-    "rot": "red",
+    "karmin": "red",
     "neu": "new",
     "bolt": "screw",
     "ring": "",
-    "32go": "32GB",
-    "64go": "64GB",
-    "8": "8GB",
-    "16": "16GB",
+    "32gib": "32GB",
+    "64gib": "64GB",
+    "eight": "8GB",
+    "sixteen": "16GB",
 }
 DOCUMENT_DICTIONARY = {
     "que des": "whose",
@@ -67,14 +67,14 @@ _CHIPS = (
 )
 _BRANDS = ("SanDisk", "Kingston", "lexar", "Samsung", "Western Digital", "Toshiba", "Unknown")
 _LINES = ("Ultra", "DataTraveler", "evo", "Pendrive", "plain", "Exceria")
-_SIZES = ("32GB", "16 GB", "64go", "128 Gigabytes", "1 TB", "8", "512.0 GB", "none")
+_SIZES = ("32GB", "16 GB", "64gib", "128 Gigabytes", "1 TB", "eight", "512.0 GB", "none")
 _PHRASES = (
     "USB 3.0 Stick with 90MB/s",
-    "microSDHC Speicherkarte class 10 schnell",
+    "microSDHC Merkplatte class 10 flink",
     "carte memoire SDXC rapide 45 mbyte per second",
-    "SSD neu for the tarjeta",
+    "SSD neu for the lamina",
     "CF Express up to 100 Mb / sec",
-    "original memoria USB type-c 16",
+    "original recuerdo USB type-c sixteen",
 )
 
 

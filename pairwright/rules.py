@@ -34,7 +34,7 @@ class StopGroup:
 def _bounded_rows(table: DataFrame, limit: int, what: str) -> list:
     rows = table.limit(limit + 1).collect()
     if len(rows) > limit:
-        raise ValueError(f"{what} table has more than {limit} rows")
+        raise ValueError(f"{what} table has more than {limit} rows: join it, see operators.vocabulary")
     return rows
 
 
@@ -49,6 +49,9 @@ def stop_groups_from_table(rules: DataFrame, kind: str) -> tuple[StopGroup, ...]
 
 
 def dictionary_from_table(dictionary: DataFrame) -> dict[str, str]:
-    """Read a translation dictionary. Errors beyond the size an expression may hold."""
+    """Read a translation dictionary. Errors beyond the size an expression may hold.
+
+    :func:`..operators.vocabulary.translate_by_table` takes a table of any size as it is.
+    """
     rows = _bounded_rows(dictionary.select("term", "replacement"), MAX_LITERAL_TERMS, "dictionary")
     return {row["term"]: row["replacement"] for row in rows}

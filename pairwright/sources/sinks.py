@@ -5,7 +5,7 @@ from __future__ import annotations
 import json
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, functions as F
 
 from ..operators.evaluate import enrich_pairs
 
@@ -48,3 +48,22 @@ def write_evaluation(outcomes: DataFrame, products: DataFrame, path: str) -> Non
     enrich_pairs(outcomes, products).write.mode("overwrite").option("header", True).option(
         "escape", '"'
     ).partitionBy("outcome").csv(path)
+
+
+def write_outcome(pairs: DataFrame, outcome: str, path: str) -> None:
+    """Replace one outcome's folder of a table partitioned by outcome; the others stay as they are."""
+    rows = pairs.withColumn("outcome", F.lit(outcome))
+    rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("outcome").parquet(path)
+
+
+def write_bucketed_blocks(df: DataFrame, keys: Sequence[str], table: str, path: str, buckets: int) -> DataFrame:
+    """Write blocked records as a bucketed table and return it, with ``block_id`` for the block.
+
+    Whatever groups or joins by ``block_id`` afterwards finds its rows together and moves
+    none. The hash that names a block takes missing keys like any other value; rows of
+    different blocks that share it are told apart by the keys themselves.
+    """
+    named = df.withColumn("block_id", F.xxhash64(*[F.struct(k) for k in keys]))
+    writer = named.repartition(buckets, "block_id").write.mode("overwrite").format("parquet").option("path", path)
+    writer.bucketBy(buckets, "block_id").sortBy("block_id").saveAsTable(table)
+    return df.sparkSession.table(table)

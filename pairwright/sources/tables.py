@@ -10,6 +10,9 @@ from pyspark.sql import DataFrame, DataFrameReader, SparkSession, functions as F
 from pyspark.sql.types import DoubleType, LongType, StringType, StructField, StructType
 
 from ..operators.evaluate import sorted_pairs
+from ..operators.ranking import with_rank
+
+TOP_ROWS = 100_000
 
 UNSTRUCTURED_SCHEMA = StructType([StructField("id", LongType()), StructField("title", StringType())])
 STRUCTURED_SCHEMA = StructType(
@@ -65,9 +68,44 @@ def read_products(
     return products if read_limit is None else first_by_id(products, read_limit)
 
 
+BROKEN = "_broken"
+
+
+def read_products_checked(spark: SparkSession, path: str, schema: StructType) -> tuple[DataFrame, DataFrame]:
+    """Scan a CSV table of one record a line: its rows, and the lines that break the schema.
+
+    A line with a value of the wrong type, or too few or too many values, goes to the
+    second table as ``(line string)`` instead of becoming a row with nulls. Files are
+    split, so quoted line breaks are not understood; they show up as broken lines, and
+    :func:`read_products` reads such files, one task each.
+    """
+    present = _csv_reader(spark).csv(path).columns
+    types = {f.name: f for f in schema}
+    fields = [types.get(c, StructField(c, StringType())) for c in present]
+    scan = (
+        _csv_reader(spark, mode="PERMISSIVE", columnNameOfCorruptRecord=BROKEN, enforceSchema=False)
+        .schema(StructType([*fields, StructField(BROKEN, StringType())]))
+        .csv(path)
+    )
+    # Lines are parsed only as far as columns are asked for: this condition, always true, asks for all.
+    parsed = F.hash(*present) >= F.lit(-(2**31))
+    good = scan.where(F.col(BROKEN).isNull() & parsed).select(
+        *[F.col(f.name) if f.name in present else F.lit(None).cast(f.dataType).alias(f.name) for f in schema]
+    )
+    bad = scan.where(F.col(BROKEN).isNotNull() & parsed).select(F.col(BROKEN).alias("line"))
+    return good, bad
+
+
 def first_by_id(products: DataFrame, read_limit: int) -> DataFrame:
-    """The ``read_limit`` rows with the smallest ids."""
-    return products.orderBy("id").limit(read_limit)
+    """The ``read_limit`` rows with the smallest ids.
+
+    A small limit is a top-k of every task; a large one goes by ranges of the id, so that
+    no task holds all of it.
+    """
+    if read_limit <= TOP_ROWS:
+        return products.orderBy("id").limit(read_limit)
+    ranked = with_rank(products.withColumn("_tie", F.monotonically_increasing_id()), [F.asc("id"), F.asc("_tie")], "_rank")
+    return ranked.where(F.col("_rank") <= read_limit).drop("_rank", "_tie")
 
 
 def within_limit(pairs: DataFrame, read_limit: int | None) -> DataFrame:
