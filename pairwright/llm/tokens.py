@@ -12,8 +12,8 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-CACHE_WORDS = 500_000
-CHUNK_BYTES = 4_000_000
+CACHE_WORDS = 600_000
+CHUNK_BYTES = 8_000_000
 _MARKS = ".,;:!?"
 _LATIN = re.compile("[A-Za-zÀ-ÖØ-Þß-öø-ÿ]+").fullmatch
 _PLAIN = re.compile("[a-zß-öø-ÿ]+").fullmatch
@@ -57,6 +57,7 @@ class WordEncoder:
         self.tokenizer = Tokenizer.from_str(tokenizer_json)
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
+        self.written = [i.to_bytes(4, "little") for i in range(self.tokenizer.get_vocab_size())]
         self.young: dict[str, bytes] = {}
         self.old: dict[str, bytes] = {}
         self.by_words = self._splits("it's one, \n two 3", "it's one, \n two 3".split())
@@ -70,8 +71,9 @@ class WordEncoder:
 
     def _modelled(self, words: list[str]) -> list[bytes]:
         """Lower-case Latin words straight from the merges: nothing else of the tokenizer changes them."""
-        tokenize = self.tokenizer.model.tokenize
-        return [b"".join([t.id.to_bytes(4, "little") for t in tokenize(w.translate(_BYTE_SIGNS))]) for w in words]
+        tokenize, written = self.tokenizer.model.tokenize, self.written
+        signs = (w if w.isascii() else w.translate(_BYTE_SIGNS) for w in words)
+        return [b"".join([written[t.id] for t in tokenize(w)]) for w in signs]
 
     def _splits(self, text: str, parts: list[str]) -> bool:
         return b"".join(self._library(parts)) == self._library([text])[0]
