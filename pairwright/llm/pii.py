@@ -26,6 +26,8 @@ IP = r"(?<![0-9])[0-9]++(?:\.[0-9]++){3}"
 CARD = r"[0-9](?:[\x20-]?[0-9]){13,}+"
 PHONE = r"\+[0-9][\x20().0-9-]+[0-9]"
 IBAN = r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?:\x20?[A-Z0-9]{4}){2,7}+(?:\x20?[A-Z0-9]{1,3})?+(?![A-Za-z0-9])"
+# Hexadecimal digests of one case, and access key ids.
+SECRET = r"(?<![A-Za-z0-9])(?:[0-9a-f]{32,64}+|[0-9A-F]{32,64}+|AKIA[0-9A-Z]{16}+)(?![A-Za-z0-9])"
 
 _OCTET = "0*(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[0-9]{1,2})"
 _IBAN_LETTERS = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
@@ -93,6 +95,11 @@ def _iban_valid(match: Column) -> Column:
     return mod97(F.regexp_replace(match, "\\x20", ""))
 
 
+def _secret_valid(match: Column) -> Column:
+    """Digits and letters both; hexadecimal words and plain numbers are no secrets."""
+    return match.rlike("[0-9]") & match.rlike("[A-Za-z]")
+
+
 # Kinds in the order in which spans with the same start are listed.
 BASE_KINDS = (
     Kind("email", EMAIL, lambda m: F.lit(True), "mail|contact|write|address|kontakt|correo", 0.9, "@"),
@@ -100,8 +107,13 @@ BASE_KINDS = (
     Kind("card", CARD, _card_valid, "card|visa|credit|payment|karte|tarjeta|carte", 0.8, ""),
     Kind("phone", PHONE, _phone_valid, "call|phone|tel|mobile|fax|telefon", 0.7, "+"),
 )
-KINDS = (*BASE_KINDS, Kind("iban", IBAN, _iban_valid, "iban|account|bank|konto|cuenta|compte", 0.9, ""))
+KINDS = (
+    *BASE_KINDS,
+    Kind("iban", IBAN, _iban_valid, "iban|account|bank|konto|cuenta|compte", 0.9, ""),
+    Kind("secret", SECRET, _secret_valid, "token|secret|key|password|passwort|auth", 0.5, ""),
+)
 CONTEXT_CHARS = 40
+LIKELY = 0.75
 
 
 def _spans(text: str, rank: int, kind: Kind) -> Column:
@@ -204,13 +216,25 @@ def redact(docs: DataFrame, text: str = "text", kinds: Sequence[Kind] = KINDS, m
 
 
 def digest(docs: DataFrame) -> DataFrame:
-    """Counts and joined spans per document, as the registered query reports them."""
+    """Counts, joined spans and their scores per document, as the registered query reports them.
+
+    ``n_spans`` counts spans of all kinds, ``n_likely`` those whose context makes them
+    at least as likely as ``LIKELY``; ``scores`` stand in the order of ``spans``.
+    """
     base = F.filter("spans", lambda s: s["rank"] < len(BASE_KINDS))
 
     def number(rank: int) -> Column:
         return F.size(F.filter("spans", lambda s: s["rank"] == rank)).cast("long")
 
     counts = [number(rank).alias(f"n_{kind.name}") for rank, kind in enumerate(BASE_KINDS)]
+    likely = F.size(F.filter("spans", lambda s: s["score"] >= LIKELY)).cast("long")
+    scores = F.array_join(F.transform("spans", lambda s: F.format_number(s["score"], 2)), ",")
     return find_spans(docs).select(
-        "doc_id", *counts, F.sha2(spans_text(base), 256).alias("base_sha256"), spans_text(F.col("spans")).alias("spans")
+        "doc_id",
+        *counts,
+        F.sha2(spans_text(base), 256).alias("base_sha256"),
+        spans_text(F.col("spans")).alias("spans"),
+        F.size("spans").cast("long").alias("n_spans"),
+        likely.alias("n_likely"),
+        scores.alias("scores"),
     )
