@@ -386,24 +386,18 @@ def baseline_matches(
 ) -> DataFrame:
     """Pairs sharing a baseline key, ranked by token overlap: ``(lid, rid, similarity)``.
 
-    Complete by default: common keys are spread over tiles, none is left out. Only a
-    caller who asks for it (``max_rows``) skips keys with that many records or more.
+    Lists what :func:`baseline_classes` found, as many rows as there are such pairs.
+    Complete by default; only a caller who asks for it (``max_rows``) skips keys with that
+    many records or more.
     """
-    keyed = baseline_blocks(products, text).select(
-        F.col("block_key").alias("key"), "id", name_tokens(F.col(text)).alias("tokens")
-    )
-    blocks = materialize(keyed)
-    if max_rows is not None:
-        rare = blocks.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") < max_rows).select("key")
-        blocks = materialize(blocks.join(rare, "key", "left_semi"))
-    left, right = spread(blocks, blocks, "key", "id", tile_rows)
-    left = left.withColumnsRenamed({"id": "lid", "tokens": "l_tokens"})
-    right = right.withColumnsRenamed({"id": "rid", "tokens": "r_tokens"})
+    found = baseline_classes(products, text, min_score, tile_rows, max_rows)
+    members, links = materialize(found.members), materialize(found.links)
+    of = lambda side, name: members.select(F.col("class_id").alias(side), F.col("id").alias(name))
     return (
-        left.join(right, ["key", "left_tile", "right_tile"])
-        .where("lid < rid")
-        .select("lid", "rid", token_overlap(F.col("l_tokens"), F.col("r_tokens")).alias("similarity"))
-        .where(F.col("similarity") >= min_score)
+        links.join(of("lid", "a"), "lid")
+        .join(of("rid", "b"), "rid")
+        .where("lid <> rid or a < b")
+        .select(F.least("a", "b").alias("lid"), F.greatest("a", "b").alias("rid"), "similarity")
         .orderBy(F.desc("similarity"), F.desc("lid"), F.desc("rid"))
     )
 
@@ -422,16 +416,24 @@ class BaselineClasses:
 
 
 def baseline_classes(
-    products: DataFrame, text: str, min_score: float = fixed.BASELINE_THRESHOLD, tile_rows: int = TILE_ROWS
+    products: DataFrame,
+    text: str,
+    min_score: float = fixed.BASELINE_THRESHOLD,
+    tile_rows: int = TILE_ROWS,
+    max_rows: int | None = None,
 ) -> BaselineClasses:
     """Records sharing a baseline key, matched by token overlap class by class.
 
     An overlap of at least t times the larger set means that two sets share one of their
     first ``size - ceil(t * size) + 1`` tokens in any common order; rare tokens come first
     in it. Only classes that meet at such a token are compared, once, at the first one.
+    ``max_rows``: keys with that many records or more are skipped, if asked for.
     """
     tokens = F.sort_array(name_tokens(F.col(text)))
     keyed = materialize(baseline_blocks(products, text).select(F.col("block_key").alias("key"), "id", tokens.alias("tokens")))
+    if max_rows is not None:
+        rare = keyed.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") < max_rows).select("key")
+        keyed = materialize(keyed.join(rare, "key", "left_semi"))
     classes = materialize(
         keyed.groupBy("key", "tokens").agg(F.min("id").alias("class_id"), F.count(F.lit(1)).alias("n"))
     )
