@@ -3,8 +3,9 @@
 Sets are hashed shingles. Equal sets become one, the smallest id. Every set indexes
 its prefix under one global order (shingles that are in very many prefixes last):
 two sets that share enough share a prefix shingle. An index list is all sets with
-that shingle; entries carry set size and position, and partners that these rule out
-are skipped in the list. The answers wanted are linked groups, so lists are worked
+that shingle; entries carry set size, position and a parity bitmap of the whole set, and
+partners that these rule out are skipped in the list. (Every shingle of a set flips one of
+256 bits, so two bitmaps differ in no more bits than the sets in shingles.) The answers wanted are linked groups, so lists are worked
 off by leaders: each round every list that still spans several groups compares its
 members with one of them, a linear number of comparisons, and what links joins one
 group. What is left after the rounds is compared pair by pair inside its lists, and
@@ -67,6 +68,26 @@ def _linked(shared: Column, a: Column, b: Column, percent: int) -> Column:
     return shared * 100 >= (a + b - shared) * percent
 
 
+_BITMAP = ("bits0", "bits1", "bits2", "bits3")
+
+
+def parity_bitmap(hashes: Column) -> list[Column]:
+    """Four 64-bit words; each hash flips one bit of one word, so what two sets share cancels."""
+
+    def word(number: int) -> Column:
+        own = F.filter(hashes, lambda h: F.shiftrightunsigned(h, 62) == number)
+        bit = lambda h: F.call_function("shiftleft", F.lit(1).cast("long"), (h % 64 + 64).cast("int"))
+        return F.aggregate(own, F.lit(0).cast("long"), lambda acc, h: acc.bitwiseXOR(bit(h)))
+
+    return [word(i).alias(c) for i, c in enumerate(_BITMAP)]
+
+
+def _far_apart(a: str, b: str, percent: int) -> Column:
+    """The bitmaps differ in more bits than sets that link may in shingles."""
+    differing = sum((F.bit_count(F.col(f"{a}{c}").bitwiseXOR(F.col(f"{b}{c}"))) for c in _BITMAP), F.lit(0))
+    return differing * (100 + percent) > (F.col(f"{a}n") + F.col(f"{b}n")) * (100 - percent)
+
+
 def _prefixes(reps: DataFrame, common: list[int], percent: int) -> DataFrame:
     """``doc, n, own, last_common, last``: each set's prefix under the global order, and its last element.
 
@@ -105,45 +126,23 @@ def _prefixes(reps: DataFrame, common: list[int], percent: int) -> DataFrame:
 
 
 def _fits(a: str, b: str, percent: int) -> Column:
-    """Neither size, nor position in the common list, nor how many lists each is in at all rules the pair out.
+    """Neither size, bitmap, position in the common list, nor how many lists each is in at all rules the pair out.
 
     ``hits`` of a set's prefix are in lists with others, and ``past`` shingles follow its prefix.
     """
     an, bn = F.col(f"{a}n"), F.col(f"{b}n")
     rest = F.least(an - F.col(f"{a}place"), bn - F.col(f"{b}place"))
     most = F.least(f"{a}hits", f"{b}hits") + F.greatest(f"{a}past", f"{b}past")
-    return (F.least(an, bn) * 100 >= F.greatest(an, bn) * percent) & _linked(F.least(rest, most), an, bn, percent)
+    sizes_fit = F.least(an, bn) * 100 >= F.greatest(an, bn) * percent
+    return sizes_fit & ~_far_apart(a, b, percent) & _linked(F.least(rest, most), an, bn, percent)
 
 
 class _Sets:
-    """What is known of the sets: prefixes kept, whole sets made again from the texts when a pair needs them."""
+    """Whole sets, made again from the texts for those a pair needs."""
 
     def __init__(self, prefixes: DataFrame, texts: DataFrame, words: int, percent: int):
         self.prefixes, self.texts, self.words, self.percent = prefixes, texts, words, percent
 
-    def compare(self, pairs: DataFrame) -> DataFrame:
-        """``a, b, shared, linked`` of those candidate pairs that their prefixes allow to be linked."""
-        return self.measure(self.hopeful(pairs))
-
-    def hopeful(self, pairs: DataFrame) -> DataFrame:
-        """Candidate pairs that their prefixes allow to be linked.
-
-        Beyond what the prefixes share, no more can be shared than what the set whose
-        prefix ends first has left.
-        """
-        a, b = F.col("pa"), F.col("pb")
-        ended = lambda p: F.struct(p["last_common"], p["last"])
-        rest = F.when(ended(a) <= ended(b), a["n"] - F.size(a["own"])).otherwise(b["n"] - F.size(b["own"]))
-        most = F.size(F.array_intersect(a["own"], b["own"])) + rest
-        known = self.prefixes.select("doc", F.struct("n", "own", "last_common", "last").alias("p"))
-        hopeful = (
-            pairs.join(known.select(F.col("doc").alias("b"), F.col("p").alias("pb")), "b")
-            .join(known.select(F.col("doc").alias("a"), F.col("p").alias("pa")), "a")
-            .where(_linked(most, a["n"], b["n"], self.percent))
-            .select("a", "b")
-        )
-        return materialize(hopeful)
-
     def measure(self, pairs: DataFrame) -> DataFrame:
         """``a, b, shared, an, bn, linked`` of written pairs, from the whole sets."""
         needed = pairs.select(F.explode(F.array("a", "b")).alias("doc")).distinct()
@@ -159,6 +158,10 @@ class _Sets:
         return counted
 
 
+# What an entry of a list says about its set.
+_ENTRY = ("doc", "n", "place", "grp", "hits", "past", *_BITMAP)
+
+
 def _links(compared: list[DataFrame]) -> DataFrame:
     found = compared[0].where("linked").select("a", "b")
     for more in compared[1:]:
@@ -176,7 +179,10 @@ def _grouped(entries: DataFrame, compared: list[DataFrame]) -> DataFrame:
 
 
 def link_representatives(reps: DataFrame, texts: DataFrame, words: int, percent: int, rounds: int = ROUNDS) -> DataFrame:
-    """Links ``(a, b)`` that connect all groups of linked sets; ``reps`` has ``doc, n, low``, ``texts`` has ``doc, text``."""
+    """Links ``(a, b)`` that connect all groups of linked sets.
+
+    ``reps`` has ``doc, n, low`` and the bitmap, ``texts`` has ``doc, text``.
+    """
     lowest = reps.select("doc", F.explode(F.slice("low", F.lit(1), _prefix_size(F.col("n"), percent))).alias("shingle"))
     rows = reps.count()
     often = lowest.groupBy("shingle").agg(F.count(F.lit(1)).alias("c")).where(F.col("c") > max(COMMON_ROWS, rows // COMMON_SHARE))
@@ -194,21 +200,22 @@ def link_representatives(reps: DataFrame, texts: DataFrame, words: int, percent:
     entries = materialize(entries.join(several, "shingle", "left_semi"))
     hits = entries.groupBy("doc").agg(F.count(F.lit(1)).cast("int").alias("hits"))
     past = F.col("n") - _prefix_size(F.col("n"), percent)
-    entries = materialize(entries.join(hits, "doc").withColumn("past", past))
+    bitmaps = reps.select("doc", *_BITMAP)
+    entries = materialize(entries.join(hits, "doc").join(bitmaps, "doc").withColumn("past", past))
     sets = _Sets(prefixes, texts, words, percent)
     compared: list[DataFrame] = []
     left, short = entries.withColumn("grp", F.col("doc")), None
     for number in range(rounds):
         order = F.col("doc") if number == 0 else F.xxhash64("doc", F.lit(number))
-        chosen = [order.alias("o"), *[F.col(c).alias(f"l{c}") for c in ("doc", "n", "place", "grp", "hits", "past")]]
+        chosen = [order.alias("o"), *[F.col(c).alias(f"l{c}") for c in _ENTRY]]
         leaders = left.groupBy("shingle").agg(F.min(F.struct(*chosen)).alias("x"))
-        leaders = leaders.select("shingle", *[F.col("x")[f"l{c}"].alias(f"l{c}") for c in ("doc", "n", "place", "grp", "hits", "past")])
-        met = left.withColumnsRenamed({c: f"r{c}" for c in ("doc", "n", "place", "grp", "hits", "past")}).join(leaders, "shingle")
+        leaders = leaders.select("shingle", *[F.col("x")[f"l{c}"].alias(f"l{c}") for c in _ENTRY])
+        met = left.withColumnsRenamed({c: f"r{c}" for c in _ENTRY}).join(leaders, "shingle")
         met = met.where("ldoc <> rdoc and lgrp <> rgrp").where(_fits("l", "r", percent))
         pairs = met.select(F.least("ldoc", "rdoc").alias("a"), F.greatest("ldoc", "rdoc").alias("b")).distinct()
         for earlier in compared:
             pairs = pairs.join(earlier.select("a", "b"), ["a", "b"], "left_anti")
-        compared.append(sets.compare(materialize(pairs)))
+        compared.append(sets.measure(materialize(pairs)))
         left = _grouped(left, compared)
         if number == 0:  # the pairs of short lists are few; long ones go on by leaders
             long = left.groupBy("shingle").agg(F.count(F.lit(1)).alias("c")).where(F.col("c") > SHORT_LIST).select("shingle")
@@ -226,10 +233,10 @@ def _rest(left: DataFrame, compared: list[DataFrame], sets: _Sets, percent: int)
     known = compared[0]
     for more in compared[1:]:
         known = known.unionByName(more)
-    one, two = (left.select("shingle", *[F.col(c).alias(s + c) for c in ("doc", "n", "place", "grp", "hits", "past")]) for s in "lr")
+    one, two = (left.select("shingle", *[F.col(c).alias(s + c) for c in _ENTRY]) for s in "lr")
     met = one.join(two, "shingle").where("ldoc < rdoc and lgrp <> rgrp").where(_fits("l", "r", percent))
     pairs = met.select(F.col("ldoc").alias("a"), F.col("rdoc").alias("b")).distinct()
-    pairs = sets.hopeful(materialize(pairs.join(known.select("a", "b"), ["a", "b"], "left_anti")))
+    pairs = materialize(pairs.join(known.select("a", "b"), ["a", "b"], "left_anti"))
     # Each set's closest leader; pairs that have the same one are bounded by it.
     sides = known.select("a", "b", "shared").unionByName(known.select(F.col("b").alias("a"), F.col("a").alias("b"), "shared"))
     closest = sides.groupBy("a").agg(F.max(F.struct("shared", F.col("b").alias("l"))).alias("x")).select("a", "x.l", "x.shared")
@@ -262,11 +269,11 @@ def link_documents(docs: DataFrame, words: int = WORDS, percent: int = PERCENT)
     n = F.size("h")
     kept = F.slice("h", F.lit(1), (_prefix_size(n, percent) * 3 / 2).cast("int") + 8)
     digest = F.struct(F.xxhash64("h").alias("x"), F.xxhash64(F.lit(7), F.col("h")).alias("y")).alias("digest")
-    sets = materialize(hashed.select("doc", n.alias("n"), digest, kept.alias("low")))
+    sets = materialize(hashed.select("doc", n.alias("n"), digest, kept.alias("low"), *parity_bitmap(F.col("h"))))
     first = materialize(sets.where("n > 0 and doc is not null").groupBy("digest").agg(F.min("doc").alias("rep")))
     chosen = first.select(F.col("rep").alias("doc"), "digest")
     reps = materialize(sets.join(chosen, ["doc", "digest"], "left_semi").dropDuplicates(["doc", "digest"]))
-    links = link_representatives(reps.select("doc", "n", "low"), texts, words, percent)
+    links = link_representatives(reps.select("doc", "n", "low", *_BITMAP), texts, words, percent)
     # Rows with equal ids and different texts are one vertex.
     groups = connected_components(links.select(F.col("a").alias("lid"), F.col("b").alias("rid")))
     answers = materialize(
