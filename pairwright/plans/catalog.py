@@ -450,6 +450,16 @@ def block_size_threshold_pairs(spark, sf):
     return pairs.select("lid", "rid", *rounded("score"))
 
 
+@query(
+    BASELINE_MATCHES_SQL.replace("WHERE block_key <> ''),", f"WHERE block_key <> '' QUALIFY n < {fixed.BASELINE_KEY_ROWS}),")
+    .replace("SELECT lid, rid, similarity FROM s", "SELECT lid, rid, round(similarity, 6) AS similarity FROM s")
+)
+def baseline_matches_rare_keys(spark, sf):
+    """Baseline pairs without the keys that too many products share, if the caller wants that."""
+    found = baseline_matches(v.storage(spark, sf).select("id", "name"), "name", max_rows=fixed.BASELINE_KEY_ROWS)
+    return found.select("lid", "rid", *rounded("similarity"))
+
+
 BASELINE_CLASSES_SQL = f"""
 b AS (SELECT id, {BASELINE_SQL} AS block_key,
              list_sort(list_distinct(regexp_extract_all(lower(name), '{o.NOT_SPACE}+'))) AS tokens
@@ -807,3 +817,20 @@ def closed_truth_profile(spark, sf):
         storage_truth(spark, sf), v.storage(spark, sf), ("name", "description"), structured=True
     )
     return means.select("pairs", *rounded(*MEASURES))
+
+
+@query(
+    f"""WITH s AS (SELECT min(price) AS low, max(price) AS high FROM ({v.STORAGE_SQL})),
+brands AS (SELECT brand, count(*) AS n FROM ({v.STORAGE_SQL}) WHERE brand IS NOT NULL GROUP BY brand ORDER BY n DESC, brand LIMIT 10)
+SELECT 'brands' AS profile, brand AS item, CAST(n AS DOUBLE) AS value FROM brands
+UNION ALL SELECT 'prices', 'min', CAST(low AS DOUBLE) FROM s UNION ALL SELECT 'prices', 'max', CAST(high AS DOUBLE) FROM s"""
+)
+def stored_profiles(spark, sf):
+    """Profile tables committed together and read back."""
+    products = v.storage(spark, sf)
+    brands = profile.top_values(products, "brand").select(F.col("brand").alias("item"), F.col("count").cast("double").alias("value"))
+    prices = profile.describe(products, "price").where(F.col("statistic").isin("min", "max"))
+    tables = {"brands": brands, "prices": prices.select(F.col("statistic").alias("item"), "value")}
+    manifest = store.commit(spark, scratch_path(spark), tables, {"dataset": "storage"})
+    read = [store.read_table(spark, manifest, name).select(F.lit(name).alias("profile"), "item", "value") for name in tables]
+    return read[0].unionByName(read[1])
