@@ -205,3 +205,30 @@ def test_pipeline_stages(spark):
     packed = corpus_pipeline.STAGES[-1][1](spark, before, DATA)
     assert packed.select("doc_id").distinct().count() == before.count()
     assert corpus_pipeline.STAGES[0][1](spark, docs.limit(0), DATA).count() == 0
+
+
+@needs_data
+def test_pipeline_stages_on_odd_rows(spark):
+    docs = spark.read.parquet(f"{DATA}/documents.parquet")
+    good = "A plain and friendly report about gardens, rivers and the people who look after them. " * 6
+    rows = [
+        (None, None, None, None, None), (None, good, "en", "s", 9), (1, "", "en", None, 0), (1, "", "en", None, 0),
+        (2, good, "en", "s", 5), (3, good + "More.", "en", "s", 5), (4, "mail a@b.org " + "word " * 60_000, "en", "s", 5), (2, "other text " * 9, None, "s", 5),
+    ]
+    odd = spark.createDataFrame(rows, docs.schema)
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        assert stage(spark, odd.limit(0), DATA).count() == 0, name
+        kept = stage(spark, odd, DATA).collect()
+        assert kept and all(tuple(r) in rows for r in kept) or name == "personal_data", name
+        if name == "toxicity":
+            assert len(kept) == len(rows)
+        if name == "near_duplicates":
+            ids = [r.doc_id for r in kept]
+            assert sorted(map(str, ids)) == ["1", "2", "4", "None", "None"]
+        if name == "personal_data":
+            changed = {tuple(r) for r in kept} - set(rows)
+            assert len(kept) == len(rows) and (None,) * 5 in {tuple(r) for r in kept}
+            assert any(r[1] and r[1].startswith("mail <EMAIL> word") and r[4] == len(r[1]) for r in changed)
+    packed = corpus_pipeline.STAGES[-1][1](spark, odd, DATA).collect()
+    assert len({(r.sequence_id, r.offset) for r in packed}) == len(packed) >= len(rows) + 20
+    assert corpus_pipeline.STAGES[-1][1](spark, odd.limit(0), DATA).count() == 0
