@@ -125,7 +125,10 @@ def extend_index(
     own = groups.withColumnRenamed("cluster_id", "own")
     regrouped = materialize(lookup(clusters, "group", groups, "cluster_id"))
     new = measured.join(own, "id", "left").withColumn("group", F.coalesce("own", "id"))
-    old = index.table("prepared").join(regrouped, "id", "left").join(own, "id", "left")
+    # Only earlier rows of keys that new rows have are moved.
+    touched = measured.select("key").distinct()
+    old = index.table("prepared").join(touched, "key", "left_semi")
+    old = old.join(regrouped, "id", "left").join(own, "id", "left")
     old = old.withColumn("group", F.coalesce("group", "own", "id"))
     found = matching._matches(_delta(new, old, tile_rows, floor)).select(F.col("lgroup").alias("lid"), F.col("rgroup").alias("rid"))
     star = groups.select(F.col("cluster_id").alias("lid"), F.col("id").alias("rid"))
@@ -153,9 +156,7 @@ def _delta(new: DataFrame, old: DataFrame, tile_rows: int, floor: float) -> Data
     columns = ["key", "home", "segment", "cell", *matching._PAYLOAD]
     fresh = materialize(new.withColumns(plain).select(*columns, F.lit(True).alias("fresh")))
     earlier = old.withColumns(plain).select(*columns, F.lit(False).alias("fresh"))
-    # Only earlier rows of keys that new rows have are moved.
-    touched = fresh.select("key").distinct()
-    both = materialize(fresh.unionByName(earlier.join(touched, "key", "left_semi")))
+    both = materialize(fresh.unionByName(earlier))
     crowded = hot_groups(both, "key", min(CROWD_ROWS, tile_rows)) is not None
     once = F.when(F.col("fresh"), F.col("l_home") & (~F.col("r_home") | (F.col("l_id") < F.col("r_id"))))
     allowed = once.otherwise(F.col("l_home") | F.col("r_home"))
