@@ -2,12 +2,29 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 BROADCAST_ROWS = 50_000
 HOT_COPIES = 16
 
 
+_KEPT: dict[str, tuple] = {}
+
+
+def kept(kind: str, key: object, make: Callable[[], object]) -> object:
+    """A Python worker's heavy helper (an encoder, a scanner), made once for many tasks.
+
+    Workers outlive stages, so a worker keeps one helper at a time: making another one
+    lets go of what an earlier stage needed.
+    """
+    if kind not in _KEPT or _KEPT[kind][0] != key:
+        _KEPT.clear()
+        _KEPT[kind] = key, make()
+    return _KEPT[kind][1]
+
+
 def read(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> DataFrame:
     """A table of the data set, narrowed to the columns asked for."""
     scan = spark.read.parquet(f"{sf_dir}/{name}.parquet")

@@ -5,13 +5,14 @@ from __future__ import annotations
 import os
 import re
 from collections.abc import Iterator
-from functools import lru_cache
 from itertools import accumulate
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
+from .common import kept
+
 CACHE_WORDS = 600_000
 CHUNK_BYTES = 8_000_000
 _MARKS = ".,;:!?"
@@ -162,7 +163,6 @@ class WordEncoder:
             yield bytes(flat[a:b])
 
 
-@lru_cache(maxsize=2)
 def encoder(tokenizer_json: str) -> WordEncoder:
-    """The worker's encoder for a tokenizer; it lives as long as the worker and serves many tasks."""
-    return WordEncoder(tokenizer_json)
+    """The worker's encoder for a tokenizer; it serves many tasks."""
+    return kept("encoder", tokenizer_json, lambda: WordEncoder(tokenizer_json))

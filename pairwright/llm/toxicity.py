@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..session import materialize
-from .common import whole
+from .common import kept, whole
 
 # Bounds of the fit: labelled texts read, and lexicon entries kept.
 TRAINING_ROWS = 10_000
@@ -301,16 +301,9 @@ def _describer(lexicon: dict[str, float]):
     return describe
 
 
-_SCANNERS: dict[int, tuple[dict, Scanner]] = {}
-
-
 def _scanner(weights: dict[str, float]) -> Scanner:
-    """The worker's scanner of a lexicon; only the latest is kept."""
-    key = hash(tuple(weights.items()))
-    if key not in _SCANNERS or _SCANNERS[key][0] != weights:
-        _SCANNERS.clear()
-        _SCANNERS[key] = (weights, Scanner(weights))
-    return _SCANNERS[key][1]
+    """The worker's scanner of a lexicon; it serves many tasks."""
+    return kept("scanner", weights, lambda: Scanner(weights))
 
 
 def score(docs: DataFrame, model: ToxicityModel, with_hits: bool = False) -> DataFrame:
