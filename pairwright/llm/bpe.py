@@ -13,6 +13,10 @@ prefixes: encoding walks it from left to right by table look-ups, keeping for ev
 prefix the last arc of its path.
 
 Decoding emits the labels of the arcs.
+
+Defined results: a missing text is an empty one, without ids; words of any length are
+walked like others; equal rows have equal results and stay rows of their own, whatever
+their ids; an empty table gives no rows. Columns other than id and text are not used.
 """
 
 from __future__ import annotations

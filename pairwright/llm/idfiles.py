@@ -18,7 +18,8 @@ operation over all of them. A carry-less range coder of 64 bits emits 32 bits at
 
 Defined results: a missing or empty text is the end id alone; documents are written
 by ascending id (missing ids first), equal ids in order of their texts; an empty
-table gives no segment. Columns other than id and text are not used.
+table gives no segment. Ids of more than 16 bits are an error. Columns other than id and
+text are not used.
 """
 
 from __future__ import annotations

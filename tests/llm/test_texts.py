@@ -201,3 +201,61 @@ def test_id_files(docs):
 
 def test_vocabulary_is_a_parameter():
     assert json.loads(tokens.read_file(WORD))["model"]["type"] == "BPE"
+
+
+REPEATED = [(5, "b b"), (5, "a a"), (5, "a a"), (None, "x"), (None, None), (2, "y " * 5000), (2, ""), (9, "Straße, ÉTÉ. It's")]
+
+
+@pytest.fixture(scope="module")
+def repeated(spark):
+    """Repeated ids and rows, and columns whose names the operators use themselves."""
+    rows = [(i, t, 1, 2, 3, "x") for i, t in REPEATED]
+    return spark.createDataFrame(rows, "doc_id long, text string, piece int, start int, part int, ids string").repartition(3)
+
+
+def word_ids(text):
+    return Tokenizer.from_file(WORD).encode(text or "", add_special_tokens=False).ids
+
+
+def crc(ids):
+    return zlib.crc32(np.array(ids, "<u4").tobytes())
+
+
+def test_packed_pieces_equal_library(docs, repeated):
+    vocabulary = tokens.read_file(WORD)
+    for table, rows in ((repeated, REPEATED), (docs, [(i if i != 7 else None, t) for i, t in enumerate(TEXTS)])):
+        packed = packing.pack_documents(table, vocabulary).collect()
+        expected = []
+        for i, text in rows:
+            ids = word_ids(text) + [0]
+            expected += [(str(i), at // 2048, at, len(ids[at : at + 2048]), crc(ids[at : at + 2048])) for at in range(0, len(ids), 2048)]
+        assert sorted((str(r.doc_id), r.piece, r.start, r.length, r.ids_crc32) for r in packed) == sorted(expected)
+    assert packing.pack_documents(repeated.limit(0), vocabulary).count() == 0
+
+
+def test_id_files_with_repeated_ids(repeated):
+    vocabulary = tokens.read_file(WORD)
+    got = sorted((r.start, str(r.doc_id), r.n_tokens, r.ids_crc32) for r in idfiles.write_and_read(repeated, vocabulary).collect())
+    start, expected = 0, []
+    for i, text in sorted(REPEATED, key=lambda r: (r[0] is not None, r[0] or 0, r[1] or "")):
+        ids = word_ids(text) + [2]
+        expected.append((start, str(i), len(ids), crc(ids)))
+        start += len(ids)
+    assert got == expected
+    assert idfiles.write_and_read(repeated.limit(0), vocabulary).count() == 0
+
+
+def test_round_trip_digests_equal_library(docs, repeated):
+    library = Tokenizer.from_file(BYTE)
+    library.no_truncation()
+    library.no_padding()
+    for table, rows in ((repeated, REPEATED), (docs, [(i if i != 7 else None, t) for i, t in enumerate(TEXTS)])):
+        got = bpe.round_trip(table, tokens.read_file(BYTE)).collect()
+        expected = []
+        for i, text in rows:
+            ids = library.encode(text or "", add_special_tokens=False).ids
+            decoded = library.decode(ids, skip_special_tokens=False)
+            digest = hashlib.sha256(np.array(ids, "<u4").tobytes()).hexdigest()
+            expected.append((str(i), len(ids), digest, hashlib.sha256(decoded.encode()).hexdigest()))
+        assert sorted((str(r.doc_id), r.n_tokens, r.ids_sha256, r.decoded_sha256) for r in got) == sorted(expected)
+    assert bpe.round_trip(repeated.limit(0), tokens.read_file(BYTE)).count() == 0
