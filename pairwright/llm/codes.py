@@ -18,8 +18,8 @@ Defined results: rows whose vector is missing, or has missing or non-finite comp
 left out; so are vectors that are not as long as that of the smallest id. Repeated rows
 count as often as they occur. Rows of equal id start codebooks in the order of their
 vectors; a missing id comes after all others. A table without vectors has no codes.
-Distances must fit 64 bits (components up to about a million); larger ones raise an error,
-as do vectors that cannot be cut into equal parts.
+Squared distances must fit 64 bits (components up to a hundred thousand for some hundred
+of them); larger ones raise an error, as do vectors that cannot be cut into equal parts.
 """
 
 from __future__ import annotations
@@ -41,15 +41,15 @@ ROUNDS = 4
 SCALE = 1024
 BLOCK_ROWS = 512
 MASK_WORDS = ENTRIES // 64
-# Squared distances of a whole vector stay below 2**62 for up to 2**16 components.
-LARGEST = 1 << 22
+LARGEST_DISTANCE = float(1 << 62)
 
 
 def whole_numbers(vectors: np.ndarray) -> np.ndarray:
-    """``floor(SCALE * x)`` of finite doubles; scaling by a power of two is exact."""
+    """``floor(SCALE * x)`` of rows of finite doubles; scaling by a power of two is exact."""
     scaled = np.floor(SCALE * vectors.astype(np.float64))
-    if scaled.size and np.abs(scaled).max() > SCALE * LARGEST:
-        raise ValueError(f"components beyond {LARGEST} cannot be compared in 64 bits")
+    # Two components are at most twice the largest apart.
+    if scaled.size and 2 * np.abs(scaled).max() >= (LARGEST_DISTANCE / scaled.shape[1]) ** 0.5:
+        raise ValueError("squared distances of such large components do not fit 64 bits")
     return scaled.astype(np.int64)
 
 
@@ -147,7 +147,7 @@ def usable(vectors: DataFrame, vector: str) -> DataFrame:
 
 
 def _matrix(column: pa.ListArray) -> np.ndarray:
-    return whole_numbers(column.flatten().to_numpy(zero_copy_only=False)).reshape(len(column), -1)
+    return whole_numbers(column.flatten().to_numpy(zero_copy_only=False).reshape(len(column), -1))
 
 
 def _parts(matrix: np.ndarray, parts: int) -> list[np.ndarray]:

@@ -75,3 +75,13 @@ def test_few_and_none(spark):
     assert codes.compress(table(spark, rows).where(F.col("vec_id") < 0)).collect() == []
     with pytest.raises(ValueError):
         codes.compress(table(spark, [(1, [1.0] * 3, 1)]))
+
+
+def test_large_components(spark):
+    rows = [(i, [(-1.0) ** i * 60_000.0 + i, 0.0, 1.0, float(i)], i % 2) for i in range(40)]
+    got = sorted((str(r.vec_id), r.code, r.error, r.label_error, r.codebooks_sha256) for r in codes.compress(table(spark, rows, "double")).collect())
+    assert got == expected(rows)
+    assert (codes.whole_numbers(np.array([[1e5, -1e5]])) == [[102_400_000, -102_400_000]]).all()
+    for large in (1e7, 1e300):
+        with pytest.raises(ValueError):
+            codes.whole_numbers(np.array([[large, 0.0]]))
