@@ -173,9 +173,12 @@ def _grouped(entries: DataFrame, compared: list[DataFrame]) -> DataFrame:
     """Entries of the lists that still span several groups, with the groups."""
     groups = connected_components(_links(compared).select(F.col("a").alias("lid"), F.col("b").alias("rid")))
     named = entries.drop("grp").join(groups.select(F.col("id").alias("doc"), "cluster_id"), "doc", "left")
-    named = materialize(named.withColumn("grp", F.coalesce("cluster_id", "doc")).drop("cluster_id"))
+    path = scratch_path(entries.sparkSession)
+    named = materialize(named.withColumn("grp", F.coalesce("cluster_id", "doc")).drop("cluster_id"), path)
     open_lists = named.groupBy("shingle").agg(F.min("grp").alias("g0"), F.max("grp").alias("g1")).where("g0 <> g1")
-    return materialize(named.join(open_lists.select("shingle"), "shingle", "left_semi"))
+    left = materialize(named.join(open_lists.select("shingle"), "shingle", "left_semi"))
+    discard(entries.sparkSession, path)
+    return left
 
 
 def link_representatives(reps: DataFrame, texts: DataFrame, words: int, percent: int, rounds: int = ROUNDS) -> DataFrame:
@@ -197,11 +200,13 @@ def link_representatives(reps: DataFrame, texts: DataFrame, words: int, percent:
         prefixes = materialize(prefixes.unionByName(_prefixes(again, common, percent)))
     entries = prefixes.select("doc", "n", F.posexplode("own").alias("place", "shingle"))
     several = entries.groupBy("shingle").agg(F.count(F.lit(1)).alias("c")).where("c > 1").select("shingle")
-    entries = materialize(entries.join(several, "shingle", "left_semi"))
+    path = scratch_path(reps.sparkSession)
+    entries = materialize(entries.join(several, "shingle", "left_semi"), path)
     hits = entries.groupBy("doc").agg(F.count(F.lit(1)).cast("int").alias("hits"))
     past = F.col("n") - _prefix_size(F.col("n"), percent)
     bitmaps = reps.select("doc", *_BITMAP)
     entries = materialize(entries.join(hits, "doc").join(bitmaps, "doc").withColumn("past", past))
+    discard(reps.sparkSession, path)
     sets = _Sets(prefixes, texts, words, percent)
     compared: list[DataFrame] = []
     left, short = entries.withColumn("grp", F.col("doc")), None
