@@ -130,7 +130,7 @@ def extend_index(
     old = index.table("prepared").join(touched, "key", "left_semi")
     old = old.join(regrouped, "id", "left").join(own, "id", "left")
     old = old.withColumn("group", F.coalesce("group", "own", "id"))
-    found = matching._matches(_delta(new, old, tile_rows, floor)).select(F.col("lgroup").alias("lid"), F.col("rgroup").alias("rid"))
+    found = _delta(new, old, tile_rows, floor).select(F.col("lgroup").alias("lid"), F.col("rgroup").alias("rid"))
     star = groups.select(F.col("cluster_id").alias("lid"), F.col("id").alias("rid"))
     merged = connected_components(materialize(found.unionByName(star)))
 
@@ -146,7 +146,7 @@ def extend_index(
 
 
 def _delta(new: DataFrame, old: DataFrame, tile_rows: int, floor: float) -> DataFrame:
-    """Candidates among new rows and between new and earlier ones."""
+    """Matches among new rows and between new and earlier ones."""
     plain = {
         "main": F.lit(False),
         "segment": F.lit(0),
@@ -160,4 +160,4 @@ def _delta(new: DataFrame, old: DataFrame, tile_rows: int, floor: float) -> Data
     crowded = hot_groups(both, "key", min(CROWD_ROWS, tile_rows)) is not None
     once = F.when(F.col("fresh"), F.col("l_home") & (~F.col("r_home") | (F.col("l_id") < F.col("r_id"))))
     allowed = once.otherwise(F.col("l_home") | F.col("r_home"))
-    return matching._candidates(fresh.drop("fresh"), both, allowed, floor, tile_rows if crowded else None)
+    return matching.found_matches(fresh.drop("fresh"), both, allowed, floor, tile_rows if crowded else None)

@@ -8,7 +8,7 @@ from collections import Counter, defaultdict
 import pytest
 from pyspark.sql import functions as F
 
-from pairwright.operators import cluster, matching, pivots, tiles
+from pairwright.operators import cluster, dense, matching, pivots, tiles
 from pairwright.operators.blocking import block_pairs
 from pairwright.operators.cluster import cluster_members, connected_components, expand_pairs, with_singletons
 from pairwright.operators.matching import Threshold, similar_clusters, similar_pairs
@@ -129,6 +129,25 @@ def test_pivots_tie_and_rule_out(spark, many_pivots):
     assert linking.near.count() < matching.all_candidates(reps, 0.9).count() / 4
 
 
+@pytest.mark.parametrize("short, crowd, tile", [(True, 5, 40), (False, 1024, 4096)])
+def test_dense_keys_are_compared_in_tiles(spark, monkeypatch, short, crowd, tile):
+    """Every key goes through tiles, also with many rare characters and with texts too long for small numbers."""
+    monkeypatch.setattr(dense, "DENSE_PAIRS", 0)
+    monkeypatch.setattr(dense, "_RARE_COLUMNS", 4)
+    monkeypatch.setattr(dense, "_CELLS", 64)
+    rows = corpus(150, 3, short)
+    rows += [(200 + i, "x", "x", "é" * (9000 + 200 * i) + "".join(map(chr, range(0x4E00, 0x4E00 + 90 * i)))) for i in range(8)]
+    expected = brute_edges(rows, 0.9)
+    products = frame(spark, [*rows, (None, "x", "x", rows[0][3])])
+    got = similar_pairs(products.where("id is not null"), ["k1", "k2"], "text", Threshold(0.9), crowd, tile)
+    assert "FlatMapCoGroupsInArrow" in got._jdf.queryExecution().executedPlan().toString()
+    found = {(r.lid, r.rid): r.score for r in got.collect()}
+    assert set(found) <= set(expected) and found == pytest.approx({k: expected[k] for k in found})
+    assert closure(list(found)) == closure(list(expected))
+    clusters = similar_clusters(products, ["k1", "k2"], "text", Threshold(0.9), None, crowd, tile).where("id is not null").collect()
+    assert {r.id: r.cluster_id for r in clusters} == closure(list(expected))
+
+
 @pytest.mark.skipif(not pathlib.Path("/root/testdata/sf0.1").exists(), reason="no test data")
 def test_candidates_grow_about_as_the_documents(spark):
     counts = []
