@@ -125,3 +125,12 @@ def test_baseline_classes(spark, score, tile):
     truth = pairs(spark, [(1, 2), (2, 1), (1, 2), (502, 503), (500, 501), (4, 90), (None, 3)])
     got = evaluate.evaluate_links(truth, found.links, found.members).first()
     assert tuple(got) == pytest.approx(tuple(evaluate.evaluate_baseline(truth, listed).first()))
+
+
+def test_baseline_links_tie_copies_to_their_class(spark):
+    """A thousand copies of two names are a thousand rows, not half a million, and lose no link."""
+    rows = [(i, "pad x1 blue" if i % 2 else "Pad x1 red") for i in range(1000)] + [(2000, "pad x1 blue small thing"), (2001, None)]
+    found = matching.baseline_links(spark.createDataFrame(rows, "id long, name string"), "name", 0.6)
+    got = {(r.lid, r.rid): r.similarity for r in found.collect()}
+    wanted = {(i % 2, i): 1.0 for i in range(2, 1000)} | {(0, 1): 2 / 3, (1, 2000): 3 / 5}
+    assert found.count() == len(got) and got == pytest.approx(wanted)
