@@ -57,8 +57,9 @@ class Automaton:
             i: token.encode() if token in self.special else bytes(signs[c] for c in token)
             for token, i in vocabulary.items()
         } | {i: token.encode() for token, i in self.special.items()}
-        self.arc = {self.label[i]: i for token, i in vocabulary.items() if token not in self.special}
-        self.longest = max(map(len, self.arc), default=1)
+        arc = {self.label[i]: i for token, i in vocabulary.items() if token not in self.special}
+        # Every ending of a token's label, with the token that it is or -1: endings of a word are tried until none follows.
+        self.endings = {label[start:]: -1 for label in arc for start in range(1, len(label))} | arc
         self.parts: dict[int, tuple[int, int, int]] = {}
         self.missing: dict[tuple[int, int], int] = {}
         for number, merge in enumerate(file["model"]["merges"]):
@@ -109,17 +110,28 @@ class Automaton:
 
     def word(self, word: bytes) -> list[int]:
         """The path that spells a word."""
-        arc, accepts, n = self.arc, self.accepts, len(word)
-        last = [-1] * (n + 1)
-        for end in range(1, n + 1):
-            for start in range(max(0, end - self.longest), end):
-                token = arc.get(word[start:end])
-                if token is not None and (start == 0 or (last[start] >= 0 and accepts(last[start], token))):
-                    if start == 0 and not self._spells(token):
+        endings, allowed, accepts, spells = self.endings.get, self.allowed, self.accepts, self._spells
+        last = [-1]
+        for end in range(1, len(word) + 1):
+            found = -1
+            for start in range(end - 1, -1, -1):
+                token = endings(word[start:end])
+                if token is None:
+                    break  # no longer token ends like this
+                if token < 0:
+                    continue
+                if start:
+                    before = last[start]
+                    if before < 0:
                         continue
-                    last[end] = token
-                    break
-        path, end = [], n
+                    known = allowed.get((before, token))
+                    if known or (known is None and accepts(before, token)):
+                        found = token
+                        break
+                elif spells(token):
+                    found = token
+            last.append(found)
+        path, end = [], len(word)
         while end:
             path.append(last[end])
             end -= len(self.label[last[end]])

@@ -129,6 +129,21 @@ def test_automaton_equals_library():
         assert machine.decode(machine.encode(text)) == library.decode(ids, skip_special_tokens=False)
 
 
+def test_automaton_tries_no_ending_that_no_token_has():
+    machine, tried = bpe.Automaton(tokens.read_file(BYTE)), []
+
+    class Counted(dict):
+        def get(self, key):
+            tried.append(key)
+            return super().get(key)
+
+    machine.endings = Counted(machine.endings)
+    word = "qxzjvkwq" * 20
+    ids = machine.word(word.encode())
+    assert ids == Tokenizer.from_file(BYTE).encode(word, add_special_tokens=False).ids
+    assert len(tried) < 6 * len(word)
+
+
 def test_word_encoder_equals_library():
     library, own = Tokenizer.from_file(WORD), tokens.WordEncoder(tokens.read_file(WORD))
     texts = texts_to_encode()
