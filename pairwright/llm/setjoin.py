@@ -5,7 +5,9 @@ its prefix under one global order (shingles that are in very many prefixes last)
 two sets that share enough share a prefix shingle. An index list is all sets with
 that shingle; entries carry set size, position and a parity bitmap of the whole set, and
 partners that these rule out are skipped in the list. (Every shingle of a set flips one of
-256 bits, so two bitmaps differ in no more bits than the sets in shingles.) The answers wanted are linked groups, so lists are worked
+256 bits, so two bitmaps differ in no more bits than the sets in shingles.) Sets
+that share too few of their lowest shingles with any other set are in no list at
+all. The answers wanted are linked groups, so lists are worked
 off by leaders: each round every list that still spans several groups compares its
 members with one of them, a linear number of comparisons, and what links joins one
 group. What is left after the rounds is compared pair by pair inside its lists, and
@@ -40,6 +42,9 @@ SHORT_LIST = 64
 # A shingle is common when it is in more prefixes than this, and in more than one of so many.
 COMMON_ROWS = 64
 COMMON_SHARE = 2000
+# Shingles looked at beyond the prefix, to see whether a set is alone: one in so many of its size, and a few.
+LOOK_SHARE = 10
+LOOK_LEAST = 4
 _UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 
 
@@ -64,6 +69,41 @@ def _prefix_size(n: Column | int, percent: int):
     return n - F.ceil(n * percent / F.lit(100.0) - 1e-9).cast("int") + 1
 
 
+def _looked_size(n: Column, percent: int) -> Column:
+    """Lowest shingles of a set of n that tell whether it is alone; never fewer for a larger set."""
+    return _prefix_size(n, percent) + F.floor(n / F.lit(LOOK_SHARE)).cast("int") + LOOK_LEAST
+
+
+def _shown_size(n: Column, percent: int) -> Column:
+    """Lowest shingles of a set of n among which all are that a partner looks at and shares.
+
+    A partner has at most 100 n / percent shingles, and in front of a shared one this set has
+    at most the partner's in front of it and those that only this set has.
+    """
+    largest = F.floor(n * 100 / F.lit(float(percent)) + 1e-9).cast("int")
+    return _looked_size(largest, percent) + _prefix_size(n, percent) - 1
+
+
+def alone(sets: DataFrame, percent: int) -> DataFrame:
+    """``x``: sets that link with no other one, as far as their lowest shingles show it.
+
+    ``sets`` has ``x, n, low``: a set's name, size and lowest hashes (:func:`_shown_size` of them,
+    or all); rows of one name are copies. Of the shingles a set looks at, a partner lacks fewer than the
+    prefix has; so a set with as many that no other set shows has no partner.
+    """
+    n = F.col("n")
+    shown = sets.select(
+        "x",
+        _prefix_size(n, percent).alias("enough"),
+        _looked_size(n, percent).alias("looked"),
+        F.posexplode(F.slice("low", F.lit(1), _shown_size(n, percent))).alias("place", "shingle"),
+    )
+    own = F.max(F.when(F.col("place") < F.col("looked"), F.col("enough"))).alias("enough")
+    met = shown.groupBy("shingle").agg(F.min("x").alias("x"), F.max("x").alias("y"), own).where("x = y and enough is not null")
+    lacking = met.groupBy("x").agg(F.count(F.lit(1)).alias("lacking"), F.max("enough").alias("enough"))
+    return lacking.where("lacking >= enough").select("x")
+
+
 def _linked(shared: Column, a: Column, b: Column, percent: int) -> Column:
     return shared * 100 >= (a + b - shared) * percent
 
@@ -270,14 +310,18 @@ def link_documents(docs: DataFrame, words: int = WORDS, percent: int = PERCENT)
     """``doc_id, n_shingles, component_id``: set size, and the smallest id reachable by links, per row."""
     texts = docs.select(F.col("doc_id").alias("doc"), whole("text").alias("text"))
     hashed = texts.select("doc", shingles(F.col("text"), words).alias("h"))
-    # The lowest hashes are kept: the prefix and half as many again, for common ones among them.
+    # The lowest hashes are kept: the prefix and half as many again, for common ones among them, and what others look for.
     n = F.size("h")
-    kept = F.slice("h", F.lit(1), (_prefix_size(n, percent) * 3 / 2).cast("int") + 8)
+    own = lambda n: (_prefix_size(n, percent) * 3 / 2).cast("int") + 8
+    low = F.slice("h", F.lit(1), F.greatest(own(n), _shown_size(n, percent)))
     digest = F.struct(F.xxhash64("h").alias("x"), F.xxhash64(F.lit(7), F.col("h")).alias("y")).alias("digest")
-    sets = materialize(hashed.select("doc", n.alias("n"), digest, kept.alias("low"), *parity_bitmap(F.col("h"))))
-    first = materialize(sets.where("n > 0 and doc is not null").groupBy("digest").agg(F.min("doc").alias("rep")))
-    chosen = first.select(F.col("rep").alias("doc"), "digest")
-    reps = materialize(sets.join(chosen, ["doc", "digest"], "left_semi").dropDuplicates(["doc", "digest"]))
+    sets = materialize(hashed.select("doc", n.alias("n"), digest, low.alias("low"), *parity_bitmap(F.col("h"))))
+    named = sets.where("n > 0 and doc is not null")
+    first = materialize(named.groupBy("digest").agg(F.min("doc").alias("rep")))
+    lone = materialize(alone(named.select(F.col("digest.x").alias("x"), "n", "low"), percent))
+    chosen = materialize(first.withColumn("x", F.col("digest.x")).join(lone, "x", "left_anti").select(F.col("rep").alias("doc"), "digest"))
+    kept = sets.withColumn("low", F.slice("low", F.lit(1), own(F.col("n"))))
+    reps = materialize(kept.join(chosen, ["doc", "digest"], "left_semi").dropDuplicates(["doc", "digest"]))
     links = link_representatives(reps.select("doc", "n", "low", *_BITMAP), texts, words, percent)
     # Rows with equal ids and different texts are one vertex.
     groups = connected_components(links.select(F.col("a").alias("lid"), F.col("b").alias("rid")))

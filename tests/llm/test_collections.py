@@ -63,6 +63,25 @@ def test_set_join(spark, size, percent):
     assert got == brute_groups(rows, size, percent)
 
 
+def test_lone_sets_are_in_no_list(spark, monkeypatch):
+    rnd = random.Random(8)
+    own = lambda n: " ".join(str(rnd.randrange(10**6)) for _ in range(n))
+    common, near = own(40), own(200)
+    rows = [(i, f"{own(100)} {common} {own(100)}") for i in range(60)]
+    rows += [(70, near), (71, f"{near} tail"), (72, near)]
+    listed, link = [], setjoin.link_representatives
+
+    def watched(reps, *rest):
+        listed.extend(r.doc for r in reps.select("doc").collect())
+        return link(reps, *rest)
+
+    monkeypatch.setattr(setjoin, "link_representatives", watched)
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in setjoin.link_documents(docs, 3, 90).collect()}
+    assert got == brute_groups(rows, 3, 90)
+    assert sorted(listed) == [70, 71]
+
+
 def test_set_join_edges(spark):
     docs = spark.createDataFrame([(None, "a b c d"), (3, "a b c d"), (3, "a b c d"), (2, "")], "doc_id long, text string")
     got = sorted((str(r.doc_id), r.n_shingles, r.component_id) for r in setjoin.link_documents(docs, 3, 90).collect())
