@@ -24,10 +24,13 @@ is kept and has no group of its own.
 
 from __future__ import annotations
 
+import uuid
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..operators.cluster import connected_components
@@ -45,6 +48,10 @@ COMMON_SHARE = 2000
 # Shingles looked at beyond the prefix, to see whether a set is alone: one in so many of its size, and a few.
 LOOK_SHARE = 10
 LOOK_LEAST = 4
+# Shingles of a bucket (about), and sets of a batch, when sets are told alone; places in a batch are 16 bits.
+BUCKET_SHINGLES = 1_000_000
+BATCH_SETS = 16_384
+_NO_OWNER = 0xFFFF
 _UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 
 
@@ -84,24 +91,99 @@ def _shown_size(n: Column, percent: int) -> Column:
     return _looked_size(largest, percent) + _prefix_size(n, percent) - 1
 
 
+def _sent(x: np.ndarray, sizes: np.ndarray, low: pa.Array, buckets: int, percent: int) -> Iterator[tuple[int, bytes, bytes]]:
+    """``bucket, owners, keys`` of a batch: what its sets show, for each bucket of hashes.
+
+    Keys are the lowest five bytes of hashes, those of ``owners`` first: places of sets that look
+    at a shingle which no other set of the batch shows. What several sets show goes out once.
+    """
+    _, rows = np.unique(x, return_index=True)
+    counts = np.zeros(len(x), np.int64)
+    counts[rows] = np.diff(low.offsets.to_numpy())[rows]
+    need = sizes - -(-percent * sizes // 100) + 1
+    looked = need + sizes // LOOK_SHARE + LOOK_LEAST
+    largest = sizes * 100 // percent
+    shown = np.minimum(counts, largest + -percent * largest // 100 + largest // LOOK_SHARE + LOOK_LEAST + need)
+    ends = np.cumsum(shown)
+    place = np.arange(ends[-1]) - np.repeat(ends - shown, shown)
+    hashes = low.values.to_numpy(zero_copy_only=False)[np.repeat(low.offsets.to_numpy()[:-1], shown) + place].view(np.uint64)
+    owner = np.repeat(np.arange(len(x)), shown)
+    owner[place >= looked[owner]] = _NO_OWNER
+    order = np.argsort(hashes)
+    hashes, owner = hashes[order], owner[order]
+    starts = np.flatnonzero(np.concatenate([[True], hashes[1:] != hashes[:-1]])) if len(hashes) else np.zeros(0, np.int64)
+    several = np.diff(np.append(starts, len(hashes))) > 1
+    hashes, owner = hashes[starts], np.where(several, _NO_OWNER, owner[starts])
+    bucket = (hashes >> np.uint64(40)) % np.uint64(buckets)
+    order = np.lexsort((owner, bucket))
+    hashes, owner, bucket = hashes[order], owner[order].astype("<u2"), bucket[order]
+    keys = hashes.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :5]
+    bounds = np.searchsorted(bucket, np.arange(buckets + 1, dtype=np.uint64))
+    for number, (start, end) in enumerate(zip(bounds.tolist(), bounds[1:].tolist())):
+        if end > start:
+            own = start + int(np.count_nonzero(owner[start:end] != _NO_OWNER))
+            yield number, owner[start:own].tobytes(), keys[start:end].tobytes()
+
+
+def _unmet(owners: list[bytes], keys: list[bytes]) -> list[bytes]:
+    """Of each batch's owners in a bucket those whose shingle no other batch has."""
+    lengths = [len(k) // 5 for k in keys]
+    padded = np.zeros((sum(lengths), 8), np.uint8)
+    padded[:, :5] = np.frombuffer(b"".join(keys), np.uint8).reshape(-1, 5)
+    _, inverse, counts = np.unique(padded.view("<u8").reshape(-1), return_inverse=True, return_counts=True)
+    single = counts[inverse] == 1
+    left, start = [], 0
+    for own, length in zip(owners, lengths):
+        values = np.frombuffer(own, "<u2")
+        left.append(values[single[start : start + len(values)]].tobytes())
+        start += length
+    return left
+
+
 def alone(sets: DataFrame, percent: int) -> DataFrame:
     """``x``: sets that link with no other one, as far as their lowest shingles show it.
 
     ``sets`` has ``x, n, low``: a set's name, size and lowest hashes (:func:`_shown_size` of them,
     or all); rows of one name are copies. Of the shingles a set looks at, a partner lacks fewer than the
     prefix has; so a set with as many that no other set shows has no partner.
+
+    Batches of sets send what they show by buckets of hashes, five bytes a shingle. Equal bytes of
+    different shingles, or copies in another batch, only make a set look less alone.
     """
-    n = F.col("n")
-    shown = sets.select(
-        "x",
-        _prefix_size(n, percent).alias("enough"),
-        _looked_size(n, percent).alias("looked"),
-        F.posexplode(F.slice("low", F.lit(1), _shown_size(n, percent))).alias("place", "shingle"),
-    )
-    own = F.max(F.when(F.col("place") < F.col("looked"), F.col("enough"))).alias("enough")
-    met = shown.groupBy("shingle").agg(F.min("x").alias("x"), F.max("x").alias("y"), own).where("x = y and enough is not null")
-    lacking = met.groupBy("x").agg(F.count(F.lit(1)).alias("lacking"), F.max("enough").alias("enough"))
-    return lacking.where("lacking >= enough").select("x")
+    total = sets.agg(F.sum(_shown_size(F.col("n"), percent))).first()[0] or 0
+    buckets = total // BUCKET_SHINGLES + 1
+    out = "batch string, bucket int, x binary, enough binary, owners binary, keys binary"
+    names = [c.split(" ")[0] for c in out.split(", ")]
+    types = [pa.string(), pa.int32(), *[pa.binary()] * 4]
+
+    def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for whole_batch in batches:
+            for start in range(0, whole_batch.num_rows, BATCH_SETS):
+                batch = whole_batch.slice(start, BATCH_SETS)
+                x = batch.column("x").to_numpy(zero_copy_only=False)
+                sizes = batch.column("n").to_numpy(zero_copy_only=False).astype(np.int64)
+                name = uuid.uuid4().hex
+                enough = (sizes - -(-percent * sizes // 100) + 1).astype("<i4").tobytes()
+                rows = [(name, zlib.crc32(name.encode()) % buckets, x.astype("<i8").tobytes(), enough, None, None)]
+                rows += [(name, bucket, None, None, owners, keys) for bucket, owners, keys in _sent(x, sizes, batch.column("low"), buckets, percent)]
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), types)], names=names)
+
+    def meet(table: pa.Table) -> pa.Table:
+        named = table.filter(pc.is_valid(table["x"])).select(["batch", "x", "enough", "owners"])
+        shown = table.filter(pc.is_valid(table["keys"]))
+        owners = pa.array(_unmet(shown["owners"].to_pylist(), shown["keys"].to_pylist()), pa.binary())
+        blank = pa.nulls(len(owners), pa.binary())
+        return pa.concat_tables([named, pa.table({"batch": shown["batch"], "x": blank, "enough": blank, "owners": owners})])
+
+    def count(table: pa.Table) -> pa.Table:
+        of = lambda c, kind: np.frombuffer(b"".join(table[c].drop_null().to_pylist()), kind)
+        x, enough = of("x", "<i8"), of("enough", "<i4")
+        lacking = np.bincount(of("owners", "<u2"), minlength=len(x))
+        return pa.table({"x": pa.array(x[lacking >= enough], pa.int64())})
+
+    sent = sets.select("x", "n", "low").mapInArrow(send, out)
+    met = sent.groupBy("bucket").applyInArrow(meet, "batch string, x binary, enough binary, owners binary")
+    return met.groupBy("batch").applyInArrow(count, "x long")
 
 
 def _linked(shared: Column, a: Column, b: Column, percent: int) -> Column:
@@ -200,6 +282,8 @@ class _Sets:
 
 # What an entry of a list says about its set.
 _ENTRY = ("doc", "n", "place", "grp", "hits", "past", *_BITMAP)
+# A set's first lists, by which most pairs are taken from the first list they share and no other.
+HEADS = 4
 
 
 def _links(compared: list[DataFrame]) -> DataFrame:
@@ -273,14 +357,24 @@ def link_representatives(reps: DataFrame, texts: DataFrame, words: int, percent:
     return _links([*compared, _rest(_grouped(short.unionByName(left), compared), compared, sets, percent)])
 
 
+def _met(left: DataFrame, percent: int) -> DataFrame:
+    """``a, b``: pairs of open lists across groups that filters allow, most of them from one list only."""
+    # All lists that sets of different groups share are open, so the first one among both sets' first is their first.
+    firsts = left.groupBy("doc").agg(F.slice(F.sort_array(F.collect_list(F.struct("place", "shingle"))), 1, HEADS).alias("s"))
+    left = left.join(firsts.select("doc", F.col("s.shingle").alias("heads")), "doc")
+    one, two = (left.select("shingle", *[F.col(c).alias(s + c) for c in (*_ENTRY, "heads")]) for s in "lr")
+    shared = F.array_intersect("lheads", "rheads")
+    met = one.join(two, "shingle").where("ldoc < rdoc and lgrp <> rgrp").where(_fits("l", "r", percent))
+    met = met.where((F.size(shared) == 0) | (F.get(shared, F.lit(0)) == F.col("shingle")))
+    return met.select(F.col("ldoc").alias("a"), F.col("rdoc").alias("b"))
+
+
 def _rest(left: DataFrame, compared: list[DataFrame], sets: _Sets, percent: int) -> DataFrame:
     """All pairs of open lists across groups that filters allow; what the leaders' overlaps settle is not compared."""
     known = compared[0]
     for more in compared[1:]:
         known = known.unionByName(more)
-    one, two = (left.select("shingle", *[F.col(c).alias(s + c) for c in _ENTRY]) for s in "lr")
-    met = one.join(two, "shingle").where("ldoc < rdoc and lgrp <> rgrp").where(_fits("l", "r", percent))
-    pairs = met.select(F.col("ldoc").alias("a"), F.col("rdoc").alias("b")).distinct()
+    pairs = _met(left, percent).distinct()
     pairs = materialize(pairs.join(known.select("a", "b"), ["a", "b"], "left_anti"))
     # Each set's closest leader; pairs that have the same one are bounded by it.
     sides = known.select("a", "b", "shared").unionByName(known.select(F.col("b").alias("a"), F.col("a").alias("b"), "shared"))
