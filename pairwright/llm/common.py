@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import gc
 from collections.abc import Callable
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 BROADCAST_ROWS = 50_000
@@ -21,6 +23,8 @@ def kept(kind: str, key: object, make: Callable[[], object]) -> object:
     """
     if kind not in _KEPT or _KEPT[kind][0] != key:
         _KEPT.clear()
+        gc.collect()
+        pa.default_memory_pool().release_unused()
         _KEPT[kind] = key, make()
     return _KEPT[kind][1]
 

@@ -6,6 +6,7 @@ import os
 import re
 from collections.abc import Iterator
 from itertools import accumulate
+from string import punctuation
 
 import numpy as np
 import pyarrow as pa
@@ -13,11 +14,14 @@ import pyarrow.compute as pc
 
 from .common import kept
 
-CACHE_WORDS = 600_000
-CHUNK_BYTES = 8_000_000
+CACHE_WORDS = 400_000
+CHUNK_BYTES = 4_000_000
 _MARKS = ".,;:!?"
 _LATIN = re.compile("[A-Za-zÀ-ÖØ-Þß-öø-ÿ]+").fullmatch
 _PLAIN = re.compile("[a-zß-öø-ÿ]+").fullmatch
+# Where a word that ends in a letter or digit meets the punctuation in front of a blank.
+_BEHIND = r"([0-9A-Za-zÀ-ÖØ-öø-ÿ])([!-/:-@\[-`{-~]+)([\t-\r ]|$)"
+_UPPER = {c: c + 32 for c in range(ord("A"), ord("Z") + 1)}
 
 
 def _byte_signs() -> dict[int, str]:
@@ -67,6 +71,13 @@ class WordEncoder:
             for word, stem, marks in (("It's.", "it's", "."), ("Two3,", "two3", ","), ("aB!?...", "ab", "!?..."), ("É;", "É", ";"), ("7:", "7", ":"))
         )
 
+        added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
+        self.added = [content.translate(_UPPER) for content in added]
+        self.by_marks = self.by_stems and not any(re.search(r"\s", content) for content in added) and all(
+            self._splits(f"Ab{marks} é{marks}\t7{marks}", ["ab", marks, "é", marks, "7", marks])
+            for marks in (*punctuation, punctuation, ".###", ",'", "&&&")
+        )
+
         sample = [*"abcdefghijklmnopqrstuvwxyzßàéîöøÿ", "straße", "therenon", "élève", "ñqueez", "lowerings", "übermäßig"]
         self.by_model = self.by_stems and hasattr(self.tokenizer.model, "tokenize") and self._modelled(sample) == self._library(sample)
 
@@ -138,10 +149,23 @@ class WordEncoder:
             else:
                 yield from self._library(chunk.to_pylist())
 
+    def _parted(self, chunk: pa.Array) -> pa.Array:
+        """The texts with A-Z lowered and words parted from the marks behind them, where ids stay the same.
+
+        That leaves far fewer different words. Texts with the string of an added token, which
+        counts as it is written, stay as they are.
+        """
+        if not self.by_marks:
+            return chunk
+        lowered = pc.ascii_lower(chunk)
+        if any(pc.any(pc.match_substring(lowered, content)).as_py() for content in self.added):
+            return chunk
+        return pc.replace_substring_regex(lowered, _BEHIND, r"\1 \2\3")
+
     def _words(self, chunk: pa.Array) -> Iterator[bytes]:
         """Texts of a chunk by way of its distinct words."""
         # At other blanks than these a word stays whole and the tokenizer parts it.
-        split = pc.ascii_split_whitespace(chunk)
+        split = pc.ascii_split_whitespace(self._parted(chunk))
         coded = split.values.dictionary_encode()
         words = coded.dictionary.to_pylist()
         found = list(map(self.young.get, words))
@@ -156,9 +180,11 @@ class WordEncoder:
         own = lengths[places]
         ends = np.zeros(len(own) + 1, np.int32)
         np.cumsum(own, out=ends[1:])
-        taken = np.repeat(first[places] - ends[:-1], own) + np.arange(ends[-1], dtype=np.int32)
-        flat = memoryview(ids[taken].tobytes())
+        taken = np.repeat(first[places] - ends[:-1], own)
+        taken += np.arange(ends[-1], dtype=np.int32)
+        flat = memoryview(ids[taken].view(np.uint8))
         bounds = (4 * ends[split.offsets.to_numpy()].astype(np.int64)).tolist()
+        del split, coded, words, found, lengths, ids, first, places, own, ends, taken  # while others work with the ids
         for a, b in zip(bounds, bounds[1:]):
             yield bytes(flat[a:b])
 

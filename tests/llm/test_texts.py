@@ -151,6 +151,18 @@ def test_word_encoder_equals_library():
         assert np.frombuffer(ids, "<u4").tolist() == library.encode(text, add_special_tokens=False).ids
 
 
+def test_word_encoder_keeps_a_word_once_however_it_is_marked():
+    library, own = Tokenizer.from_file(WORD), tokens.WordEncoder(tokens.read_file(WORD))
+    words = [f"{a}{b}{c}" for a in "kloréñ" for b in ("ab", "ei", "óu", "st") for c in ("men", "tion", "ß", "u")]
+    marked = [form for w in words for form in (w, w.capitalize(), f"{w},", f"{w}.###", f"{w}&&&", f"{w}'", f'{w}".')]
+    texts = [" ".join(marked), "\t".join(marked[::-1]), "", "\n".join(marked[:9]) + "\x0b"]
+    assert list(own.encode(texts)) == [np.array(library.encode(t, add_special_tokens=False).ids, "<u4").tobytes() for t in texts]
+    assert len(own.young) + len(own.old) <= 2 * len(words)  # é and ñ stay capitals
+    odd = ["A<|endoftext|>b.", "x<|STARTOFTEXT|>.", "don't. it's' 'S. ab'.\t7'", "ΑΣ. ΑΣ s.", "a.\x85", "e.\u0301 K. a_ b- c\\ d]", "a.\x1c b", "x.\x00 y"]
+    for texts in (odd, odd[2:]):
+        assert list(own.encode(texts)) == [np.array(library.encode(t, add_special_tokens=False).ids, "<u4").tobytes() for t in texts]
+
+
 def test_round_trip_query(docs):
     got = {r.doc_id: r for r in bpe.round_trip(docs, tokens.read_file(BYTE), keep=True).collect()}
     assert got[1].n_tokens == 0 and got[12].decoded == TEXTS[12] and len(got) == len(TEXTS)
