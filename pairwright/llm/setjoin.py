@@ -94,7 +94,7 @@ def _shown_size(n: Column, percent: int) -> Column:
 def _sent(x: np.ndarray, sizes: np.ndarray, low: pa.Array, buckets: int, percent: int) -> Iterator[tuple[int, bytes, bytes]]:
     """``bucket, owners, keys`` of a batch: what its sets show, for each bucket of hashes.
 
-    Keys are the lowest five bytes of hashes, those of ``owners`` first: places of sets that look
+    Keys are the lowest four bytes of hashes, those of ``owners`` first: places of sets that look
     at a shingle which no other set of the batch shows. What several sets show goes out once.
     """
     _, rows = np.unique(x, return_index=True)
@@ -117,7 +117,7 @@ def _sent(x: np.ndarray, sizes: np.ndarray, low: pa.Array, buckets: int, percent
     bucket = (hashes >> np.uint64(40)) % np.uint64(buckets)
     order = np.lexsort((owner, bucket))
     hashes, owner, bucket = hashes[order], owner[order].astype("<u2"), bucket[order]
-    keys = hashes.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :5]
+    keys = hashes.astype("<u4")
     bounds = np.searchsorted(bucket, np.arange(buckets + 1, dtype=np.uint64))
     for number, (start, end) in enumerate(zip(bounds.tolist(), bounds[1:].tolist())):
         if end > start:
@@ -127,10 +127,8 @@ def _sent(x: np.ndarray, sizes: np.ndarray, low: pa.Array, buckets: int, percent
 
 def _unmet(owners: list[bytes], keys: list[bytes]) -> list[bytes]:
     """Of each batch's owners in a bucket those whose shingle no other batch has."""
-    lengths = [len(k) // 5 for k in keys]
-    padded = np.zeros((sum(lengths), 8), np.uint8)
-    padded[:, :5] = np.frombuffer(b"".join(keys), np.uint8).reshape(-1, 5)
-    _, inverse, counts = np.unique(padded.view("<u8").reshape(-1), return_inverse=True, return_counts=True)
+    lengths = [len(k) // 4 for k in keys]
+    _, inverse, counts = np.unique(np.frombuffer(b"".join(keys), "<u4"), return_inverse=True, return_counts=True)
     single = counts[inverse] == 1
     left, start = [], 0
     for own, length in zip(owners, lengths):
@@ -147,7 +145,7 @@ def alone(sets: DataFrame, percent: int) -> DataFrame:
     or all); rows of one name are copies. Of the shingles a set looks at, a partner lacks fewer than the
     prefix has; so a set with as many that no other set shows has no partner.
 
-    Batches of sets send what they show by buckets of hashes, five bytes a shingle. Equal bytes of
+    Batches of sets send what they show by buckets of hashes, four bytes a shingle. Equal bytes of
     different shingles, or copies in another batch, only make a set look less alone.
     """
     total = sets.agg(F.sum(_shown_size(F.col("n"), percent))).first()[0] or 0
@@ -411,7 +409,8 @@ def link_documents(docs: DataFrame, words: int = WORDS, percent: int = PERCENT)
     digest = F.struct(F.xxhash64("h").alias("x"), F.xxhash64(F.lit(7), F.col("h")).alias("y")).alias("digest")
     sets = materialize(hashed.select("doc", n.alias("n"), digest, low.alias("low"), *parity_bitmap(F.col("h"))))
     named = sets.where("n > 0 and doc is not null")
-    first = materialize(named.groupBy("digest").agg(F.min("doc").alias("rep")))
+    ids = [F.min("doc").alias("rep"), F.max("doc").alias("last"), F.max(F.col("doc").isNull()).alias("unnamed")]
+    first = materialize(sets.where("n > 0").groupBy("digest").agg(*ids).where("rep is not null"))
     lone = materialize(alone(named.select(F.col("digest.x").alias("x"), "n", "low"), percent))
     chosen = materialize(first.withColumn("x", F.col("digest.x")).join(lone, "x", "left_anti").select(F.col("rep").alias("doc"), "digest"))
     kept = sets.withColumn("low", F.slice("low", F.lit(1), own(F.col("n"))))
@@ -419,11 +418,10 @@ def link_documents(docs: DataFrame, words: int = WORDS, percent: int = PERCENT)
     links = link_representatives(reps.select("doc", "n", "low", *_BITMAP), texts, words, percent)
     # Rows with equal ids and different texts are one vertex.
     groups = connected_components(links.select(F.col("a").alias("lid"), F.col("b").alias("rid")))
-    answers = materialize(
-        first.join(groups.select(F.col("id").alias("rep"), "cluster_id"), "rep", "left").select(
-            "digest", F.coalesce("cluster_id", "rep").alias("component_id")
-        )
-    )
+    # A row without an answer is a group of its own: only digests whose rows are not all named like the group need one.
+    answered = first.join(groups.select(F.col("id").alias("rep"), "cluster_id"), "rep", "left")
+    answered = answered.withColumn("component_id", F.coalesce("cluster_id", "rep")).where("unnamed or last <> component_id")
+    answers = materialize(answered.select("digest", "component_id"))
     rows = sets.select("doc", "n", "digest").withColumn("_salt", F.xxhash64("doc"))
     named = add_columns(rows, answers, "digest", "_salt")
     own = F.when(F.col("n") > 0, F.coalesce("component_id", "doc")).otherwise(F.col("doc"))

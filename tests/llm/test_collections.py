@@ -102,6 +102,29 @@ def test_lone_sets_by_buckets_and_batches(spark, monkeypatch):
     assert sum(len(o) + len(k) for _, o, k in sent) <= 7 * sizes.sum()
 
 
+def test_lone_sets_send_six_bytes_a_shingle():
+    rnd = random.Random(10)
+    sets = [sorted(rnd.randrange(-(2**63), 2**63) for _ in range(60)) for _ in range(50)]
+    sizes = np.full(50, 60)
+    sent = list(setjoin._sent(np.arange(50), sizes, pa.array(sets, pa.list_(pa.int64())), 4, 80))
+    assert sum(len(o) + len(k) for _, o, k in sent) <= 6 * sizes.sum()
+
+
+def test_answers_are_joined_only_where_they_differ_from_the_id(spark, monkeypatch):
+    rows = [(i, f"a{i} b{i} c{i} d{i}") for i in range(40)] + [(50, "x y z u"), (51, "x y z u"), (None, "a3 b3 c3 d3"), (60, "p q r"), (60, "p q r")]
+    joined, add = [], setjoin.add_columns
+
+    def watched(given, table, *rest):
+        joined.extend(r.component_id for r in table.select("component_id").collect())
+        return add(given, table, *rest)
+
+    monkeypatch.setattr(setjoin, "add_columns", watched)
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = sorted((str(r.doc_id), r.component_id) for r in setjoin.link_documents(docs, 3, 90).collect())
+    assert got == sorted([*((str(i), i) for i in range(40)), ("50", 50), ("51", 50), ("None", 3), ("60", 60), ("60", 60)])
+    assert sorted(joined) == [3, 50]
+
+
 def test_pairs_come_from_their_first_shared_list(spark):
     listed = [(d, 1000, i, s, 400, 800) for d in range(4) for i, s in enumerate(s for s in range(200) if d == 0 or s % 50 != d)]
     entries = spark.createDataFrame(listed, "doc long, n int, place int, shingle long, hits int, past int")
