@@ -2,6 +2,7 @@
 
 import itertools
 import random
+from collections import Counter
 
 import pytest
 from pyspark.sql import functions as F
@@ -10,7 +11,7 @@ from pairwright.functions.text import words
 from pairwright.operators import evaluate, matching, profile, ranking
 from pairwright.operators.keys import baseline_key
 from pairwright.operators.cluster import connected_components
-from pairwright.plans import pipelines
+from pairwright.plans import catalog, pipelines
 from pairwright.sources import store
 
 
@@ -134,3 +135,27 @@ def test_baseline_links_tie_copies_to_their_class(spark):
     got = {(r.lid, r.rid): r.similarity for r in found.collect()}
     wanted = {(i % 2, i): 1.0 for i in range(2, 1000)} | {(0, 1): 2 / 3, (1, 2000): 3 / 5}
     assert found.count() == len(got) and got == pytest.approx(wanted)
+
+
+def test_baseline_query_lists_every_pair(spark, tmp_path):
+    """Thirty parts of one name are 435 pairs, and each of them meets the three others of its key."""
+    rows = [(30 * i, "jar x1") for i in range(1, 31)] + [(930, "red jar x1"), (960, "red jar x1"), (7, "jar x1")]
+    parts = spark.createDataFrame(rows, "p_partkey long, p_name string").withColumn("p_retailprice", F.lit(1.0))
+    parts.write.parquet(str(tmp_path / "part.parquet"))
+    found = catalog.baseline_matches_products(spark, str(tmp_path))
+    got = {(r.lid, r.rid): r.similarity for r in found.collect()}
+    many = [30 * i for i in range(1, 31)]
+    wanted = {p: 1.0 for p in itertools.combinations(many, 2)} | {(930, 960): 1.0}
+    wanted |= {(i, j): 0.857143 for i in many for j in (930, 960)}
+    wanted |= {(7, i): 0.666667 for i in many} | {(7, j): 0.571429 for j in (930, 960)}
+    assert found.count() == len(got) and got == pytest.approx(wanted)
+
+
+def test_listing_deals_large_classes(spark):
+    """A class of many members and many links is listed whole from tiles; repeated and missing ids are no pairs."""
+    rows = [(i, "pad x1 blue") for i in range(60)] + [(100 + i, f"pad x1 w{i}") for i in range(60)]
+    rows += [(0, "pad x1 blue"), (None, "pad x1 blue"), (None, "pad x1 w1")]
+    products = spark.createDataFrame(rows, "id long, name string")
+    got = Counter((r.lid, r.rid) for r in matching.baseline_matches(products, "name", 0.6, tile_rows=8).collect())
+    ids = [i for i, _ in rows if i is not None]
+    assert got == Counter((a, b) for a, b in itertools.combinations(sorted(ids), 2) if a < b)
