@@ -82,7 +82,7 @@ def build_index(
     floor = threshold.floor
     placed = materialize(matching._place(reps, floor))
     pivots = draw(placed, matching._HISTOGRAM)
-    measured = materialize(compare(placed, pivots, matching._HISTOGRAM, matching._similarity))
+    measured = materialize(compare(placed, pivots, matching._HISTOGRAM, matching.SIMILARITY))
     labels = matching.representative_clusters(reps, floor, measured=measured)
     tables = {
         "representatives": reps.select("block", "hist", "id"),
@@ -115,7 +115,7 @@ def extend_index(
     placed = materialize(matching._place(fresh, floor))
     pivots = index.table("pivots")
     pivots = pivots if "key" in pivots.columns else None
-    measured = materialize(compare(placed, pivots, matching._HISTOGRAM, matching._similarity))
+    measured = materialize(compare(placed, pivots, matching._HISTOGRAM, matching.SIMILARITY))
     tied, _ = ties(measured)
 
     # From here on an earlier record is its cluster.

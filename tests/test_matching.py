@@ -235,3 +235,19 @@ def test_no_edges(spark):
     empty = spark.createDataFrame([], "lid long, rid long")
     assert connected_components(empty).count() == 0
     assert tiles.hot_groups(spark.createDataFrame([(1,)], "key int"), "key", 5) is None
+
+
+def test_rows_meet_all_pivots_at_once(spark, monkeypatch, many_pivots):
+    """The matrices' similarities are those of the expression, with rare characters, few pivots and keys without any."""
+    rows = corpus(120, 5, False) + [(900 + i, "r", None, "é€" * i + "a" * 40 + "\U0001f600") for i in range(6)] + [(990, "s", "s", "alone")]
+    _, reps = matching._prepare(frame(spark, rows), ["k1", "k2"], "text", Threshold(0.9))
+    placed = matching._place(reps, 0.9)
+    drawn = pivots.draw(placed, matching._HISTOGRAM)
+    compare = lambda: pivots.compare(placed, drawn, matching._HISTOGRAM, matching.SIMILARITY)
+    columns = "id", "key", "pivot_ids", "alike", *pivots.PIVOTS
+    got = compare().select(*columns)
+    monkeypatch.setattr(pivots, "PIVOT_KEYS", 0)
+    wanted = compare().select(*columns)
+    assert "ArrowEvalPython" in got._jdf.queryExecution().executedPlan().toString()
+    ordered = [sorted(df.collect(), key=str) for df in (got, wanted)]
+    assert ordered[0] == ordered[1] and any(r.alike is None for r in ordered[0]) and any(len(r.alike or "") == 16 for r in ordered[0])
