@@ -8,6 +8,7 @@ from collections import Counter, defaultdict
 import pytest
 from pyspark.sql import functions as F
 
+from pairwright import session
 from pairwright.operators import cluster, dense, matching, pivots, tiles
 from pairwright.operators.blocking import block_pairs
 from pairwright.operators.cluster import cluster_members, connected_components, expand_pairs, with_singletons
@@ -251,3 +252,32 @@ def test_rows_meet_all_pivots_at_once(spark, monkeypatch, many_pivots):
     assert "ArrowEvalPython" in got._jdf.queryExecution().executedPlan().toString()
     ordered = [sorted(df.collect(), key=str) for df in (got, wanted)]
     assert ordered[0] == ordered[1] and any(r.alike is None for r in ordered[0]) and any(len(r.alike or "") == 16 for r in ordered[0])
+
+
+def test_large_dense_keys_have_large_tiles(spark, monkeypatch):
+    """A key of many rows is listed bit by bit from tiles that leave few copies of a row, and loses no match."""
+    asked = []
+    for name, value in {"DENSE_PAIRS": 0, "DENSE_TILE_ROWS": 8, "_CELLS": 64, "_OPEN_PAIRS": 50, "_LISTED_PAIRS": 7}.items():
+        monkeypatch.setattr(dense, name, value)
+    monkeypatch.setattr(dense, "spread", lambda *a: asked.append(a[-1]) or tiles.spread(*a))
+    rng = random.Random(8)
+    rows = [(i, "x", "x", "".join(rng.choice("abcdeé€") for _ in range(30)) + "k" * 300) for i in range(200)]
+    got = similar_pairs(frame(spark, rows), ["k1", "k2"], "text", Threshold(0.97))
+    assert "FlatMapGroupsInArrow" in got._jdf.queryExecution().executedPlan().toString()
+    expected = brute_edges(rows, 0.97)
+    found = {(r.lid, r.rid): r.score for r in got.collect()}
+    copies = {(i, j) for i, j in expected if Counter(rows[i][3]) == Counter(rows[j][3])}
+    assert len(expected) > 500 and found == pytest.approx({k: v for k, v in expected.items() if k not in copies or k in found})
+    assert len(asked) == 1 and asked[0] > 16
+
+
+@pytest.mark.parametrize("cluster", [False, True])
+def test_superseded_tables_are_deleted(spark, many_pivots, cluster):
+    """Rows on their way to the join are kept once."""
+    folder = pathlib.Path(session.run_folder(spark).removeprefix("file:"))
+    before = set(folder.iterdir()) if folder.exists() else set()
+    run = similar_clusters if cluster else similar_pairs
+    found = run(frame(spark, corpus(150, 2, False)), ["k1", "k2"], "text", Threshold(0.9))
+    assert found.count() > 0
+    kept = [set(spark.read.parquet(str(f)).columns) for f in set(folder.iterdir()) - before]
+    assert sum("sum_rare" in c and "id" in c for c in kept) == 1 and not any("ranked" in c for c in kept)
